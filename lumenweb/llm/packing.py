@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import base64
 import bisect
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,30 +34,36 @@ from tokenizers import Tokenizer
 from lumenweb.llm.common import materialize, shuffle_partitions
 
 SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: Texts with a run of so many characters without white space go to the reference tokenizer: the fast one takes time in the square of a run's length.
+#: Texts with a run of so many characters without white space, or of it, go to the reference tokenizer: the fast one takes time in the square of a run's length.
 LONG_RUN = 2000
+_RUNS = re.compile(r"\S{2000,}|\s{2000,}")
 
 
 @lru_cache(maxsize=2)
-def _encoder(json_path: str, ranks_path: str | None):
+def _reference(json_path: str) -> Tokenizer:
     slow = Tokenizer.from_file(json_path)
     slow.no_truncation()
     slow.no_padding()
-    if ranks_path is None:
-        return slow, None
+    return slow
+
+
+@lru_cache(maxsize=2)
+def _ranked(json_path: str, ranks_path: str) -> tiktoken.Encoding:
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    special = {t.content: i for i, t in slow.get_added_tokens_decoder().items()}
-    return slow, tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    with open(json_path, "rb") as f:
+        special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 def encode(text: str | None, json_path: str, ranks_path: str | None) -> np.ndarray:
     """The ids that the tokenizers library gives for json_path; ranks_path: the same vocabulary as ranks, which is faster."""
-    slow, fast = _encoder(json_path, ranks_path)
     text = text or ""
-    if fast is None or len(text) > LONG_RUN and max(map(len, text.split())) > LONG_RUN if text.strip() else fast is None or len(text) > LONG_RUN:
-        return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
-    return fast.encode_to_numpy(text, allowed_special="all").astype(np.uint32)
+    # A run of white space counts as a run too.
+    long_run = len(text) > LONG_RUN and max(map(len, _RUNS.findall(text)), default=0) > LONG_RUN
+    if ranks_path is None or long_run:
+        return np.array(_reference(json_path).encode(text, add_special_tokens=False).ids, np.uint32)
+    return _ranked(json_path, ranks_path).encode_to_numpy(text, allowed_special="all").astype(np.uint32)
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:
