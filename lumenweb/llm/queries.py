@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenweb.llm import ann, bpe, packing, quality, qualityrules, sharding, simhash, toxicity, urlfilter
+from lumenweb.llm import ann, bpe, packing, quality, qualityrules, sharding, simhash, suffixdedup, toxicity, urlfilter
 from lumenweb.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_suffixdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op7_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"))
 
@@ -46,7 +50,7 @@ def op10_qualityrules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qualityrules.verdicts(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sharding, op2_simhash, op3_packing, op4_bpe, op5_quality, op7_urlfilter, op8_ann, op9_toxicity, op10_qualityrules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sharding, op2_simhash, op3_packing, op4_bpe, op5_quality, op6_suffixdedup, op7_urlfilter, op8_ann, op9_toxicity, op10_qualityrules)}
 
 #: None of these has an equivalent in SQL that runs on whole tables; tests hold them against brute force.
 ORACLE_SQL: dict[str, str] = {}

@@ -11,7 +11,8 @@ together grow with the corpus; an oversized shard is cut in slices, and every pa
 What leaves a shard is a spanning forest of its links, never all pairs. Components: large-star, small-star.
 
 Edge cases: a null text has no words; null doc_ids never are a component's smallest (a component of only nulls has a
-null id); repeated rows get a row each; an empty table gives an empty result; other columns are carried by ``classes``.
+null id); repeated rows get a row each (``keep_one`` keeps one of them); an empty table gives an empty result; other
+columns are carried by ``keep_one``. Working columns start with ``_sh_``.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenweb.llm.bktree import LEAF, BKTree
-from lumenweb.llm.common import materialize, shuffle_partitions
+from lumenweb.llm.common import MAX_LONG, materialize, shuffle_partitions
 from lumenweb.llm.components import connected_components
 
 #: A shard of more fingerprints is cut in slices of this many.
@@ -54,15 +55,16 @@ def fingerprint(text: str | None, width: int = 4, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", width: int = 4) -> DataFrame:
-    """(id, fp): the fingerprint as a long with the same bits."""
+def fingerprints(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", width: int = 4, *carry: str) -> DataFrame:
+    """(id, fp), fp the fingerprint as a long with the same bits; with a column to carry, also that as hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter((fingerprint(t, width) for t in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]], ["id", "fp", "hash"][: batch.num_columns])
 
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(run, "id long, fp long")
+    asked = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"), *(F.col(c).alias("hash") for c in carry))
+    return asked.mapInArrow(run, "id long, fp long" + ", hash long" * len(carry))
 
 
 def _blocks(n: int, radius: int) -> list[np.ndarray]:
@@ -177,24 +179,36 @@ def links(fps: DataFrame, radius: int = 4) -> DataFrame:
     return dealt.repartition(parts, "key", "m", "a", "b").mapInArrow(run, "u long, v long")
 
 
-def components(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", width: int = 4, radius: int = 4) -> DataFrame:
-    """(doc_id, fp long, component_id): component_id is the smallest id reachable over links."""
-    fps = materialize(fingerprints(df, text_col, id_col, width), "near-fp")
+def _placed(fps: DataFrame, radius: int) -> DataFrame:
+    """(fp, root, component_id) of each distinct fingerprint of fps (id, fp)."""
     groups = materialize(fps.groupBy("fp").agg(F.min("id").alias("least")), "near-groups")
     roots = connected_components(links(groups.select("fp"), radius))
     placed = groups.join(roots.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     placed = materialize(placed, "near-placed")
     least = materialize(placed.groupBy("root").agg(F.min("least").alias("component_id")), "near-least")
-    named = materialize(placed.join(least, "root").select("fp", "component_id"), "near-named")
-    return fps.join(named, "fp").select(F.col("id").alias("doc_id"), "fp", "component_id")
+    return materialize(placed.join(least, "root").select("fp", "root", "component_id"), "near-named")
+
+
+def components(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", width: int = 4, radius: int = 4) -> DataFrame:
+    """(doc_id, fp long, component_id): component_id is the smallest id reachable over links."""
+    fps = materialize(fingerprints(df, text_col, id_col, width), "near-fp")
+    return fps.join(_placed(fps, radius).drop("root"), "fp").select(F.col("id").alias("doc_id"), "fp", "component_id")
 
 
 def near_duplicates(df: DataFrame) -> DataFrame:
     return components(df).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """df without the documents whose component has a smaller id; rows with a null id stay."""
-    found = components(df, id_col=id_col)
-    gone = found.where("component_id < doc_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return df.join(gone, id_col, "left_anti")
+def keep_one(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", width: int = 4, radius: int = 4) -> DataFrame:
+    """df with one row of each component: that of the smallest id (null last), and of the smallest text hash at a tie."""
+    key = {"_sh_id": F.coalesce(F.col(id_col).cast("long"), F.lit(MAX_LONG)), "_sh_hash": F.coalesce(F.xxhash64(text_col), F.lit(0))}
+    named = df.withColumns(key)
+    fps = materialize(fingerprints(named, text_col, "_sh_id", width, "_sh_hash"), "near-fp")
+    rooted = fps.join(_placed(fps, radius).drop("component_id"), "fp").select("id", "hash", "root")
+    first = materialize(rooted.groupBy("root").agg(F.min(F.struct("id", "hash")).alias("k"), F.count("*").alias("n")).where("n > 1"), "near-first")
+    rooted = rooted.join(first, "root")
+    gone = materialize(rooted.where((F.col("id") != F.col("k.id")) | (F.col("hash") != F.col("k.hash"))).select(F.col("id").alias("_sh_id"), F.col("hash").alias("_sh_hash")).distinct(), "near-gone")
+    kept = named.join(gone, ["_sh_id", "_sh_hash"], "left_anti")
+    if fps.groupBy("id", "hash").count().where("count > 1").limit(1).count():  # repeated rows
+        kept = kept.dropDuplicates(["_sh_id", "_sh_hash"])
+    return kept.select(*df.columns)
