@@ -2,12 +2,15 @@
 
 Largest inner product becomes smallest distance: a candidate x gets the extra coordinate sqrt(M^2 - |x|^2), M the largest
 norm, and a query gets 0 there. All are projected by a Gaussian (2-stable) matrix to ``DIMS`` dimensions, where a squared
-projected distance over the true one is chi-square with DIMS degrees of freedom. Candidates are dealt to shards; each has
-a kd-tree over its projections. A query takes a shard's leaves in the order of their projected distance and verifies
-their rows by the true inner product, until the next leaf is so far that a row nearer than the k-th found would be
-projected that far with a probability below 1 - ``CONFIDENCE``. The shards' best are merged exactly.
+projected distance over the true one is chi-square with DIMS degrees of freedom. Candidates are dealt to shards of a size
+that memory bounds; each has a kd-tree over its projections. A query takes a shard's leaves in the order of their
+projected distance and verifies their rows by the true inner product, until the next leaf is so far that a row nearer
+than the k-th found would be projected that far with a probability below 1 - ``CONFIDENCE``. The queries of a block take
+their next leaves together, so that a leaf is verified for all queries that want it by one matrix product. The shards'
+best are merged exactly.
 
-Every row is indexed. Queries meet each shard in blocks of a batch, so memory is bounded by a shard and a batch.
+Every row is indexed; of equal vectors in a shard the k + 1 with the smallest ids stand for all, since no other of them
+can be among k neighbours. Where there are few shards, each one is searched by several tasks that share the queries.
 
 Edge cases: null or zero vectors, those with null or non-finite components and those of another length than most rows
 have (the shorter at a tie) take no part; equal scores go by the smaller id; fewer candidates than k: all of them;
@@ -24,9 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumenweb.llm.common import shuffle_partitions
-
-DIMS, CONFIDENCE, LEAF, SHARD_ROWS, SEED = 8, 0.98, 32, 50_000, 42
+#: SHARD_VALUES: components of the vectors of one shard. BLOCK: queries that are searched together.
+DIMS, CONFIDENCE, LEAF, SHARD_VALUES, BLOCK, SEED = 8, 0.98, 256, 4_000_000, 512, 42
+#: Scores that are so near to the k-th are computed again row by row, so that equal vectors have equal scores.
+CLOSE = 1e-9
 
 
 def chi_square_cdf(x: np.ndarray, dims: int) -> np.ndarray:
@@ -65,44 +69,76 @@ class KDTree:
         self.low = np.array([points[x].min(0) for x in self.leaves])
         self.high = np.array([points[x].max(0) for x in self.leaves])
 
-    def order(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Leaves by their squared distance to q, and these distances: the incremental search of the tree."""
-        off = np.maximum(np.maximum(self.low - q, q - self.high), 0)
-        d = np.einsum("ij,ij->i", off, off)
-        by = np.argsort(d, kind="stable")
-        return by, d[by]
+    def distances(self, q: np.ndarray) -> np.ndarray:
+        """Squared distances of queries to the leaves' boxes."""
+        out = np.zeros((len(q), len(self.leaves)))
+        for i in range(q.shape[1]):
+            off = np.maximum(np.maximum(self.low[:, i] - q[:, i, None], q[:, i, None] - self.high[:, i]), 0)
+            out += off * off
+        return out
+
+
+def _first_copies(ids: np.ndarray, vectors: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k rows with the smallest ids of each vector."""
+    if not len(ids):
+        return np.zeros(0, np.int64)
+    same = np.unique(np.ascontiguousarray(vectors).view(np.dtype((np.void, vectors.shape[1] * vectors.itemsize))).ravel(), return_inverse=True)[1].ravel()
+    order = np.lexsort((ids, same))
+    new = np.concatenate(([True], same[order][1:] != same[order][:-1]))
+    rank = np.arange(len(ids)) - np.maximum.accumulate(np.where(new, np.arange(len(ids)), 0))
+    return np.sort(order[rank < k])
 
 
 class Shard:
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, top: float, dims: int = DIMS):
-        self.ids, self.vectors, self.top = ids, vectors, top
-        norms = np.einsum("ij,ij->i", vectors, vectors)
-        self.rows = np.column_stack((vectors, np.sqrt(np.maximum(top * top - norms, 0))))
-        self.matrix = np.random.default_rng(SEED).standard_normal((self.rows.shape[1], dims))
-        self.tree = KDTree(self.rows @ self.matrix)
-        self.dims = dims
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, top: float, k: int, dims: int = DIMS):
+        kept = _first_copies(ids, vectors, k + 1)
+        self.ids, self.vectors, self.top, self.k = ids[kept], vectors[kept], top, k
+        norms = np.einsum("ij,ij->i", self.vectors, self.vectors)
+        self.matrix = np.random.default_rng(SEED).standard_normal((vectors.shape[1] + 1, dims))
+        self.tree = KDTree(np.column_stack((self.vectors, np.sqrt(np.maximum(top * top - norms, 0)))) @ self.matrix)
         #: Stop at projected distance^2 >= quantile * distance^2 of the k-th.
         self.quantile = chi_square_quantile(CONFIDENCE, dims)
 
-    def search(self, own: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k best (ids, scores), nearest first."""
+    def search(self, own: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of the query, id, score) of the k best of each query."""
+        k, n = self.k, len(own)
         if not len(self.ids):
-            return self.ids, np.zeros(0)
-        by, far = self.tree.order(np.append(q, 0) @ self.matrix)
-        base = q @ q + self.top * self.top
-        ids, scores, done, step = np.zeros(0, np.int64), np.zeros(0), 0, max(1, 2 * k // LEAF)
-        while done < len(by):
-            rows = np.concatenate([self.tree.leaves[i] for i in by[done : done + step]])
-            rows = rows[self.ids[rows] != own]
-            ids, scores = np.concatenate((ids, self.ids[rows])), np.concatenate((scores, self.vectors[rows] @ q))
-            done += step
-            if len(ids) > k:
-                best = np.lexsort((ids, -scores))[:k]
-                ids, scores = ids[best], scores[best]
-            if len(ids) == k and done < len(by) and far[done] >= self.quantile * max(0.0, base - 2 * scores.min()):
-                break
-        best = np.lexsort((ids, -scores))[:k]
-        return ids[best], scores[best]
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        far = self.tree.distances(np.column_stack((q, np.zeros(n))) @ self.matrix)
+        by = np.argsort(far, axis=1, kind="stable")
+        far = np.take_along_axis(far, by, 1)
+        base = np.einsum("ij,ij->i", q, q) + self.top * self.top
+        at, ids, scores = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        worst = np.full(n, -np.inf)
+        active = np.arange(n)
+        for turn in range(by.shape[1]):
+            leaf = by[active, turn]
+            order = np.argsort(leaf, kind="stable")
+            cuts = np.flatnonzero(np.diff(leaf[order])) + 1
+            new_at, new_rows = [], []
+            for part in np.split(order, cuts):
+                rows, who = self.tree.leaves[leaf[part[0]]], active[part]
+                x, y = np.nonzero(q[who] @ self.vectors[rows].T >= (worst[who] - CLOSE)[:, None])
+                new_at.append(who[x])
+                new_rows.append(rows[y])
+            a, r = np.concatenate(new_at), np.concatenate(new_rows)
+            other = self.ids[r] != own[a]
+            a, r = a[other], r[other]
+            at, ids, scores = np.concatenate((at, a)), np.concatenate((ids, self.ids[r])), np.concatenate((scores, np.einsum("ij,ij->i", self.vectors[r], q[a])))
+            best = np.lexsort((ids, -scores, at))
+            at, ids, scores = at[best], ids[best], scores[best]
+            first = np.searchsorted(at, np.arange(n))
+            rank = np.arange(len(at)) - first[at]
+            last = rank == k - 1
+            worst[at[last]] = scores[last]
+            keep = rank < k
+            at, ids, scores = at[keep], ids[keep], scores[keep]
+            if turn + 1 < by.shape[1]:
+                nearest = np.maximum(0.0, base[active] - 2 * worst[active])
+                active = active[~(far[active, turn + 1] > self.quantile * nearest + CLOSE)]
+                if not len(active):
+                    break
+        return at, ids, scores
 
 
 def _valid(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -118,30 +154,36 @@ def nearest(df: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id",
     usual = rows.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("c"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("s")).orderBy(F.desc("c"), "n").first()
     dim, n, top = (usual["n"], usual["c"], float(np.sqrt(usual["s"]))) if usual else (0, 0, 0.0)
     rows = rows.where(F.size("v") == dim)
-    shards = max(shuffle_partitions(spark), -(-n // SHARD_ROWS))
-    kept = rows.select("id", "v", F.lit(0).alias("kind"), F.pmod(F.xxhash64("id", "v"), F.lit(shards)).cast("int").alias("shard"))
-    asked = rows.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v")).select("id", "v", F.lit(1).alias("kind"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    dealt = kept.union(asked).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
+    shards = max(1, -(-n * dim // SHARD_VALUES))
+    groups = max(1, -(-spark.sparkContext.defaultParallelism // shards))
+    slot = lambda shard, group: (shard * groups + group).cast("int").alias("slot")
+    every_group, every_shard = (F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("other") for m in (groups, shards))
+    kept = rows.select("id", "v", F.lit(0).alias("kind"), F.pmod(F.xxhash64("id", "v"), F.lit(shards)).alias("own"), every_group).select("id", "v", "kind", slot(F.col("own"), F.col("other")))
+    asked = rows.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v")).select("id", "v", F.lit(1).alias("kind"), F.pmod(F.xxhash64("id"), F.lit(groups)).alias("own"), every_shard).select("id", "v", "kind", slot(F.col("other"), F.col("own")))
+    # More partitions than slots, so that few slots share one.
+    dealt = kept.union(asked).repartition(8 * shards * groups, "slot").sortWithinPartitions("slot", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, own, index = None, [], None
         for batch in batches:
-            ids, kinds, shard = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3))
+            ids, kinds, slots = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3))
             vectors = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(ids), dim) if len(ids) else np.zeros((0, dim))
-            cuts = [0, *(np.flatnonzero((np.diff(shard) != 0) | (np.diff(kinds) != 0)) + 1).tolist(), len(ids)]
+            cuts = [0, *(np.flatnonzero((np.diff(slots) != 0) | (np.diff(kinds) != 0)) + 1).tolist(), len(ids)]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if a == b:
                     continue
-                if shard[a] != now:
-                    now, own, index = shard[a], [], None
+                if slots[a] != now:
+                    now, own, index = slots[a], [], None
                 if kinds[a] == 0:
                     own.append((ids[a:b].copy(), vectors[a:b].copy()))
                     continue
                 if index is None:
-                    index = Shard(np.concatenate([np.zeros(0, np.int64), *(x for x, _ in own)]), np.concatenate([np.zeros((0, dim)), *(x for _, x in own)]), top)
-                found = [(i, *index.search(int(i), q, k)) for i, q in zip(ids[a:b], vectors[a:b], strict=True)]
-                sizes = [len(x[1]) for x in found]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[a:b], sizes)), pa.array(np.concatenate([x[1] for x in found])), pa.array(np.concatenate([x[2] for x in found]))], ["query_id", "vec_id", "score"])
+                    index = Shard(np.concatenate([np.zeros(0, np.int64), *(x for x, _ in own)]), np.concatenate([np.zeros((0, dim)), *(x for _, x in own)]), top, k)
+                    own = []
+                for i in range(a, b, BLOCK):
+                    j = min(b, i + BLOCK)
+                    at, near, scores = index.search(ids[i:j], vectors[i:j])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[i:j][at]), pa.array(near), pa.array(scores)], ["query_id", "vec_id", "score"])
 
     found = dealt.mapInArrow(run, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))

@@ -249,3 +249,19 @@ def test_suffix_arrays():
         for a, b in zip(sa.tolist(), sa.tolist()[1:]):
             n = next((k for k in range(len(t)) if max(a, b) + k >= len(t) or t[a + k] != t[b + k]), len(t))
             assert shared[b] == n
+
+
+def test_nearest_among_many_copies(spark):
+    """A third of all rows are one vector: ties go to the smallest ids, the own one left out."""
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(1500, 8))
+    v[::3] = 5 * v[0]
+    out = ann.nearest(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(5), k=20)
+    got = defaultdict(list)
+    for r in out.orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert len(got) == 75
+    copies = list(range(0, 1500, 3))
+    for q, found in got.items():
+        if q % 3 == 0:
+            assert found == [i for i in copies if i != q][:20]
