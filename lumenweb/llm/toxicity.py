@@ -9,7 +9,9 @@ precision on the training rows; a text's score is 1 - exp(-sum of factor times e
 Learning reads labels of at most ``TRAIN_ROWS`` documents of each class (those with the smallest hash of their doc_id,
 outside the held-out quarter), each distinct text once. A term is a word or a word's beginning; it is taken if nearly all
 texts that hold it are toxic and it explains texts that no earlier term explains, so that words which merely stand beside
-insults in copied texts are not learned. lang, source and doc_id are never inputs.
+insults in copied texts are not learned. Beginnings of words that toxic texts hold far more often than others, but that
+others hold too, are weak: they count only in texts that have several of them, and many for their length; how many is
+learned. lang, source and doc_id are never inputs.
 
 Edge cases: null and empty texts score 0; without usable labels the seeds stand alone; a null doc_id isn't held out;
 repeated rows are scored each; an empty table gives an empty result; long texts cost time in proportion.
@@ -21,6 +23,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import ahocorasick
@@ -36,6 +39,9 @@ TRAIN_ROWS = 6000
 SUPPORT, PRECISION, NEW = 5, 0.97, 3
 #: Terms that go on to the next step of learning at most; those held by most texts first.
 TERMS = 60_000
+#: Weak beginnings: toxic texts that must hold one, how much oftener they do than others, beginnings at most; and what may gate them.
+WEAK_SUPPORT, LIFT, WEAK = 8, 4.0, 40
+COUNTS, DENSITIES = (2, 3, 4), (0.0, 0.002, 0.005, 0.01, 0.015, 0.02)
 THRESHOLD = 0.3
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = "ITYNRO"
@@ -104,31 +110,57 @@ def grammar() -> Transducer:
     return insults.then(threats).then(targets).then(negations).then(reports)
 
 
+@dataclass(frozen=True)
+class Gate:
+    """Weak beginnings, how many of them a text must have and what share of its words, and how surely it is toxic then."""
+
+    stems: tuple[str, ...] = ()
+    count: int = 2
+    density: float = 0.0
+    probability: float = 0.5
+
+    def opens(self, found: int, text: str) -> bool:
+        return found >= self.count and found >= self.density * (text.count(" ") + text.count("\n") + 1)
+
+
 class Scorer:
     """lexicon: (term, is a word's beginning, symbol, probability)."""
 
-    def __init__(self, lexicon: list[tuple[str, bool, str, float]]):
+    def __init__(self, lexicon: list[tuple[str, bool, str, float]], gate: Gate = Gate()):
         self.machine = grammar()
+        self.gate, self.weak = gate, frozenset(gate.stems)
+        # So many as the gate asks for are together as sure as it is.
+        self.weak_evidence = -math.log(1 - gate.probability) / gate.count
+        self.weak_lengths = sorted({len(x) for x in self.weak})
         self.words: dict[str, tuple[str, float]] = {w: (s, 0.0) for s, ws in CONTEXT.items() for w in ws.split()}
         self.stems: dict[str, tuple[str, float]] = {}
         for term, stem, symbol, p in lexicon:
             (self.stems if stem else self.words)[term] = symbol, -math.log(1 - p)
         self.lengths = sorted({len(s) for s in self.stems})
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        for term, *_ in lexicon:
+        for term in [*(x[0] for x in lexicon), *self.weak]:
             self.automaton.add_word(term, len(term))
         self.automaton.make_automaton()
 
-    def lookup(self, word: str) -> tuple[str, float]:
+    def lookup(self, word: str, weak: bool = False) -> tuple[str, float]:
         found = self.words.get(word, (OTHER, 0.0))
         if found[0] == OTHER:
             for n in self.lengths:
                 if word[:n] in self.stems:
                     return self.stems[word[:n]]
+            if weak and any(word[:n] in self.weak for n in self.weak_lengths):
+                return INSULT, self.weak_evidence
         return found
 
-    def clause(self, text: str) -> float:
-        got = [self.lookup(w) for w in _WORD.findall(text)]
+    def strong(self, text: str) -> bool:
+        """Whether a term of the lexicon is in a text in lower case."""
+        return any(self.lookup(w)[1] > 0 for w in _WORD.findall(text))
+
+    def weak_count(self, text: str) -> int:
+        return sum(any(w[:n] in self.weak for n in self.weak_lengths) for w in _WORD.findall(text))
+
+    def clause(self, text: str, weak: bool = False) -> float:
+        got = [self.lookup(w, weak) for w in _WORD.findall(text)]
         factors = self.machine.factors(s for s, _ in got)
         total, aimed = 0.0, [i for i, (s, _) in enumerate(got) if s == TARGET]
         for i, ((s, e), f) in enumerate(zip(got, factors, strict=True)):
@@ -141,8 +173,11 @@ class Scorer:
         low = (text or "").lower()
         if not low or not len(self.automaton):
             return 0.0
-        starts = sorted({end - n + 1 for end, n in self.automaton.iter(low)})
-        starts = [i for i in starts if i == 0 or not low[i - 1].isalpha()]
+        hits = {(end - n + 1, n) for end, n in self.automaton.iter(low)}
+        hits = sorted((i, n) for i, n in hits if i == 0 or not low[i - 1].isalpha())
+        faint = {i for i, n in hits if low[i : i + n] in self.weak}
+        weak = self.gate.opens(len(faint), low)
+        starts = sorted({i for i, n in hits if weak or low[i : i + n] not in self.weak})
         total, done = 0.0, 0
         for i in starts:
             if i < done:
@@ -156,7 +191,7 @@ class Scorer:
                 begin = max(0, i - 2000)
             end = _CLAUSE.search(low, i)
             stop = end.start() if end else len(low)
-            total += self.clause(low[max(begin, done) : stop])
+            total += self.clause(low[max(begin, done) : stop], weak)
             done = stop
         return 1 - math.exp(-total)
 
@@ -164,7 +199,7 @@ class Scorer:
 def _terms(text: str) -> set[str]:
     """Words and, with a star, beginnings of words."""
     words = set(re.findall(r"[^\W\d_]{3,}", text.lower()))
-    return words | {w[:n] + "*" for w in words for n in range(4, min(9, len(w)))}
+    return words | {w[:n] + "*" for w in words for n in range(3, min(9, len(w)))}
 
 
 def _count(texts: DataFrame, only: frozenset[str] | None) -> DataFrame:
@@ -197,47 +232,106 @@ def training_texts(docs: DataFrame, labels: DataFrame, target: str, rows: int) -
     return materialize(joined.groupBy(F.xxhash64("text").alias("h"), F.length("text").alias("n")).agg(F.first("text").alias("text"), F.max(target).alias(target)).select("text", target), "train-texts")
 
 
-def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> list[tuple[str, bool, str, float]]:
+def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[tuple[str, bool, str, float]], Gate]:
     seeds = [(w, False, s, 0.75 if s == INSULT else 0.6) for s, ws in SEEDS.items() for w in ws.split()]
     texts = training_texts(docs, labels, "toxic", rows)
     toxic = texts.where("toxic = 1")
+    sizes = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
     counts = {r["term"]: r["n"] for r in _count(toxic, None).where(F.col("n") >= SUPPORT).orderBy(F.desc("n"), "term").limit(TERMS).collect()}
     other = {r["term"]: r["n"] for r in _count(texts.where("toxic = 0"), frozenset(counts)).collect()}
     exact = {t: (n, other.get(t, 0)) for t, n in counts.items() if n >= PRECISION * (n + other.get(t, 0))}
     # The longest term of a chain of beginnings says what the shorter ones say.
     for x in sorted(exact, key=len, reverse=True):
-        for n in range(4, min(9, len(x.removesuffix("*")) + (not x.endswith("*")))):
+        for n in range(3, min(9, len(x.removesuffix("*")) + (not x.endswith("*")))):
             t = x[:n] + "*"
             if t != x and t in exact and counts[x] >= 0.97 * counts[t]:
                 del exact[t]
     order = sorted(exact, key=lambda t: (-exact[t][0], exact[t][1], len(t), t))
-    number = {t: i for i, t in enumerate(order)}
+    lift = lambda t, n: (n / max(1, sizes.get(1, 0))) / (max(other.get(t, 0), 0.5) / max(1, sizes.get(0, 0)))
+    faint = [t for t, n in counts.items() if t.endswith("*") and t not in exact and n >= WEAK_SUPPORT and lift(t, n) >= LIFT]
+    number = {t: i for i, t in enumerate([*order, *faint])}
 
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([sorted(number[t] for t in _terms(x) if t in number) for x in batch.column(0).to_pylist()], pa.list_(pa.int32()))], ["at"])
 
     left = [set(r["at"]) for r in toxic.select("text").mapInArrow(hold, "at array<int>").collect()]  # at most rows
-    learned = []
+    # Weak beginnings come first where they are far more frequent: what they explain needs no rare words of its own.
+    learned, late = [], []
     for i, t in enumerate(order):
         own = [x for x in left if i in x]
         if len(own) >= NEW:
-            left = [x for x in left if i not in x]
             n, m = exact[t]
-            learned.append((t.removesuffix("*"), t.endswith("*"), INSULT, (n + 1) / (n + m + 2)))
-    known = {x[0] for x in learned}
+            (learned if n >= 4 * SUPPORT else late).append((i, t, n, m))
+            if n >= 4 * SUPPORT:
+                left = [x for x in left if i not in x]
+    gate = _gate(texts, [(t, number[t]) for t in faint], left, other, sizes, [(t, n, m) for _, t, n, m in learned] + [(w, 1, 0) for w, *_ in seeds])
+    explained = [x for x in left if not any(number[s + "*"] in x for s in gate.stems)]
+    for i, t, n, m in late:
+        if sum(i in x for x in explained) >= NEW:
+            explained = [x for x in explained if i not in x]
+            learned.append((i, t, n, m))
+    lexicon = [(t.removesuffix("*"), t.endswith("*"), INSULT, (n + 1) / (n + m + 2)) for _, t, n, m in learned]
+    known = {x[0] for x in lexicon}
     refuted = {w for w, n in other.items() if w in counts and n > counts[w]}
-    return learned + [s for s in seeds if s[0] not in known | refuted]
+    return lexicon + [s for s in seeds if s[0] not in known | refuted], gate
+
+
+def _gate(texts: DataFrame, faint: list[tuple[str, int]], left: list[set[int]], other: dict[str, int], sizes: dict[int, int], strong: list[tuple[str, int, int]]) -> Gate:
+    """The weak beginnings that tell most about the toxic texts that are left, and the gate that divides the texts without strong terms best."""
+    n1, n0 = max(1, len(left)), max(1, sizes.get(0, 0))
+
+    def gain(n: int, m: int) -> float:
+        """Likelihood ratio of holding it: n of the toxic, m of the other texts."""
+        p = (n + m) / (n1 + n0)
+        part = lambda k, of: (k * math.log(max(k, 1e-9) / of) + (of - k) * math.log(max(of - k, 1e-9) / of)) - (k * math.log(p) + (of - k) * math.log(max(1 - p, 1e-9)))
+        return part(n, n1) + part(m, n0)
+
+    ranked = []
+    for t, i in faint:
+        n, m = sum(i in x for x in left), min(other.get(t, 0), n0)
+        if n >= WEAK_SUPPORT and (n / n1) >= LIFT * (m / n0):
+            ranked.append((-gain(n, m), t.removesuffix("*")))
+    stems: list[str] = []
+    for _, t in sorted(ranked):
+        if not any(t.startswith(x) or x.startswith(t) for x in [*stems, *(w.removesuffix("*") for w, *_ in strong)]):
+            stems.append(t)
+    if not stems:
+        return Gate()
+    stems = stems[:WEAK]
+    lexicon = [(t.removesuffix("*"), t.endswith("*"), INSULT, 0.9) for t, *_ in strong]
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(lexicon, Gate(tuple(stems)))
+        for batch in batches:
+            rows = []
+            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                low = text.lower()
+                k = scorer.weak_count(low)
+                if k and not scorer.strong(low):
+                    rows.append((y, min(k, max(COUNTS)), sum(k >= d * (low.count(" ") + low.count("\n") + 1) for d in DENSITIES)))
+            cols = list(zip(*rows, strict=True)) if rows else [[], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int32()) for c in cols], ["y", "k", "d"])
+
+    cells = texts.select("text", "toxic").mapInArrow(measure, "y int, k int, d int").groupBy("y", "k", "d").count().collect()
+    best, gate = 0.0, Gate()
+    for c in COUNTS:
+        for i, d in enumerate(DENSITIES):
+            n, m = (sum(r["count"] for r in cells if r["y"] == y and r["k"] >= c and r["d"] > i) for y in (1, 0))
+            f1 = 2 * n / max(1, n1 + n + m)
+            if n >= WEAK_SUPPORT and f1 > best and n > m:
+                best, gate = f1, Gate(tuple(stems), c, d, (n + 1) / (n + m + 2))
+    return gate
 
 
 def score(docs: DataFrame, labels: DataFrame, text_col: str = "text", out: str = "toxicity") -> DataFrame:
     """docs with the column out: the score."""
-    lexicon = learn(docs, labels)
+    lexicon, gate = learn(docs, labels)
     names = docs.columns
     schema = docs.withColumn(out, F.lit(0.0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(lexicon)
+        scorer = Scorer(lexicon, gate)
         at = names.index(text_col)
         for batch in batches:
             scores = np.fromiter((scorer.score(t) for t in batch.column(at).to_pylist()), np.float64, batch.num_rows)

@@ -265,3 +265,30 @@ def test_nearest_among_many_copies(spark):
     for q, found in got.items():
         if q % 3 == 0:
             assert found == [i for i in copies if i != q][:20]
+
+
+def test_weak_beginnings_count_only_together():
+    gate = toxicity.Gate(("réeux",), 2, 0.01, 0.9)
+    s = toxicity.Scorer([("idiot", False, "I", 0.9)], gate)
+    assert s.score("le mot réeuxan seul") == 0
+    two = s.score("un réeuxan, des mots. Un réeuxou")
+    assert two == pytest.approx(0.9)
+    assert s.score("réeuxan réeuxou " + "mot " * 500) == 0  # few for the length
+    assert s.score("trois réeuxan. Les réeuxou. Un réeuxte") > two
+    assert s.score("Un réeuxan. pas réeuxou") < two
+
+
+def test_weak_beginnings_are_learned(spark):
+    rng = random.Random(12)
+    vocab = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
+    docs, labels = [], []
+    for i in range(1600):
+        bad = i % 6 == 0
+        w = [rng.choice(vocab) for _ in range(rng.randint(30, 200))]
+        for _ in range(max(3, len(w) // 40) if bad else rng.random() < 0.15):
+            w[rng.randrange(len(w))] = "vorgu" + rng.choice(vocab)
+        docs.append((i, " ".join(w)))
+        labels.append((i, 1, int(bad)))
+    out = toxicity.scores(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    held = [r for r in out if r.held_out]
+    assert sum(r.predicted == (r.doc_id % 6 == 0) for r in held) / len(held) > 0.97
