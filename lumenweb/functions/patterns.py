@@ -340,12 +340,13 @@ class Runs:
         return self.breaks[i] if i < len(self.breaks) else len(self.text)
 
     def around(self, core: re.Pattern) -> Iterator[str]:
-        """The stretches (run, core, run) that don't overlap; a core found further on in the same run carries the stretch on."""
+        """The stretches (run, core, run) that don't overlap; of several cores in the run before one, the last counts."""
         at = 0
         while at <= len(self.text) and (m := core.search(self.text, at)):
             begin, end = max(at, self.left(m.start())), self.right(m.end())
-            while (more := core.search(self.text, m.start() + 1)) and more.start() <= end:
-                m, end = more, max(end, self.right(more.end()))
+            last = self.right(begin)
+            while (more := core.search(self.text, m.start() + 1)) and more.start() <= last:
+                m, end = more, self.right(more.end())
             yield self.text[begin:end]
             at = max(end, m.start() + 1)
 
@@ -369,8 +370,8 @@ class PatternEngine:
         if (n_words or 0) >= LIMITS["pattern_words"] and language not in ("zh-cn", "zh-tw"):
             return False, None, None
         scanned = re.sub(" {2,}", ".", html if len(text) <= LIMITS["pattern_text"] else text)
-        missing = None if language in self.sets else language
-        used = language if missing is None else "en"
+        used = language if language in self.sets else "en"
+        missing = None if language in self.sets else language or None
         runs = Runs(scanned, self.characters.get(used, self.characters["other"]))
         own = [re.compile(re.escape(x), re.I) for x in (url, "www." + url)] if url else []
         notice = self._search(runs, self.sets[used].cores + own, self.sets[used].attributes, True)

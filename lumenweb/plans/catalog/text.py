@@ -35,8 +35,16 @@ def docs(spark, d):
 ROOTS = {"the": "the", "of": "of", "der": "the", "le": "the", "el": "the", "la": "the", "die": "the", "and": "and", "und": "and", "et": "and", "y": "and", "de": "of", "von": "of"}
 TYPES = {"the": "core", "of": "attr", "and": "attr"}
 WORDS = ["and", "of", "the", "in", "que"]
-KNOWN = F.create_map(*[F.lit(x) for kv in ROOTS.items() for x in kv])
-TYPE_MAP = F.create_map(*[F.lit(x) for kv in TYPES.items() for x in kv])
+
+
+def known():
+    return F.create_map(*[F.lit(x) for kv in ROOTS.items() for x in kv])
+
+
+def type_map():
+    return F.create_map(*[F.lit(x) for kv in TYPES.items() for x in kv])
+
+
 SQL_ROOTS = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in ROOTS.items()) + "}"
 TOKENS = f"t AS (SELECT doc_id, {sql_tokens('text')} AS tokens FROM documents)"
 TRANSLATED = f"{TOKENS}, r AS (SELECT doc_id, list_transform(tokens, lambda s: list_transform(s, lambda w: coalesce({SQL_ROOTS}[w], w))) AS tokens FROM t)"
@@ -47,7 +55,7 @@ def tokens(spark, d):
 
 
 def roots(spark, d):
-    return tokens(spark, d).select("doc_id", text.translate_tokens(F.col("tokens"), KNOWN).alias("tokens"))
+    return tokens(spark, d).select("doc_id", text.translate_tokens(F.col("tokens"), known()).alias("tokens"))
 
 
 @query("l03_l23_l42_sentences", f"SELECT doc_id, len(regexp_split_to_array(text, '{SENT}')) AS n, md5(array_to_string(regexp_split_to_array(text, '{SENT}'), '|')) AS digest FROM documents")
@@ -115,7 +123,7 @@ def translated(spark, d):
 
 @query("l24_relevant_words", f"WITH {TOKENS} SELECT doc_id, len(f) AS n, array_to_string(list_transform(f[1:5], lambda w: {SQL_ROOTS}[w]), ' ') AS head FROM (SELECT doc_id, list_filter(flatten(tokens), lambda w: {SQL_ROOTS}[w] IS NOT NULL) AS f FROM t)")
 def relevant(spark, d):
-    found = tokens(spark, d).select("doc_id", text.relevant_words(F.col("tokens"), KNOWN).alias("f"))
+    found = tokens(spark, d).select("doc_id", text.relevant_words(F.col("tokens"), known()).alias("f"))
     return found.select("doc_id", F.size("f").cast("long").alias("n"), F.array_join(F.slice("f", 1, 5), " ").alias("head"))
 
 
@@ -134,14 +142,14 @@ SELECT r.doc_id, coalesce(count(*) FILTER (same), 0) AS n_pair_same, coalesce(co
 
 @query("w01_pair_features", _PAIRS)
 def pairs(spark, d):
-    found = roots(spark, d).select("doc_id", text.pair_features(F.col("tokens"), TYPE_MAP).alias("p"))
+    found = roots(spark, d).select("doc_id", text.pair_features(F.col("tokens"), type_map()).alias("p"))
     return found.select("doc_id", *[F.col(f"p.{k}").cast("long").alias(k) for k in ("n_pair_same", "n_pair_successive", "min_sent_size_same", "min_sent_size_successive")])
 
 
 @query("l26_l27_l28_features")
 def features(spark, d):
     rows = docs(spark, d).select("doc_id", "text", F.lit("").alias("url"))
-    out = text.with_features(rows, "text", F.col("url"), WORDS, TYPES, KNOWN)
+    out = text.with_features(rows, "text", F.col("url"), WORDS, TYPES, known())
     return out.select("doc_id", F.array_join("text_feat", " ").alias("counts"), "n_sentences", "n_words", "n_unique_words", "n_pair_same", "n_pair_successive", "min_sent_size_same", "min_sent_size_successive")
 
 

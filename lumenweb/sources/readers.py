@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lumenweb import schemas
 from lumenweb.operators import labels, registrars
@@ -19,7 +18,7 @@ def sniff_separator(spark: SparkSession, path: str) -> str:
 
 def domain_list(spark: SparkSession, path: str, extra: str = "", separator: str = ",", chunks: bool = False) -> DataFrame:
     """Domains of one CSV file or a folder of them, normalized; extra: further columns as DDL. Files of chunks are left out unless asked for."""
-    schema = T.StructType(schemas.DOMAIN_LIST.fields + (schemas.parse(extra).fields if extra else []))
+    schema = schemas.DOMAIN_LIST + (f", {extra}" if extra else "")
     df = spark.read.option("header", True).option("sep", separator).option("enforceSchema", False).schema(schema).csv(path).withColumn("file", F.col("_metadata.file_name"))
     return normalize(df if chunks else df.where(~F.col("file").rlike(r"chunk\.\d+\.csv$")))
 
@@ -36,7 +35,7 @@ def documents_multiline(spark: SparkSession, path: str) -> DataFrame:
 
 def samples(spark: SparkSession, path: str) -> DataFrame:
     """Labelled samples: a file is a list, or an object with ``results`` whose categorisation is flattened."""
-    envelope = T.StructType([*schemas.SAMPLES.fields, T.StructField("results", T.ArrayType(schemas.SAMPLES))])
+    envelope = f"{schemas.SAMPLES}, results array<struct<{schemas.SAMPLES}>>"
     raw = spark.read.schema(envelope).option("multiLine", True).json(path)
     plain = raw.where("results is null").drop("results")
     wrapped = raw.where("results is not null").select(F.inline("results"))
