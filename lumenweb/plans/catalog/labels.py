@@ -44,7 +44,7 @@ def texts(spark, d):
     return table(spark, d, "documents").where("length(text) > 5").select("doc_id", labels.has_text(t).alias("has_text"), labels.has_text(t, True).alias("compat"), labels.is_trivial_text(t).alias("trivial"))
 
 
-@query("a08_agreement_summary", _SQL + "SELECT metric, value FROM (SELECT 'N_single_label' AS metric, CAST(count(*) FILTER (labels = 1) AS DOUBLE) AS value FROM a UNION ALL SELECT 'N_multi_label', count(*) FILTER (labels > 1) FROM a UNION ALL SELECT 'Ratio_agreement', count(*) FILTER (labels > 1 AND kinds = 1) / count(*) FILTER (labels > 1) FROM a UNION ALL SELECT 'N_disagreement', count(*) FILTER (labels > 1 AND kinds > 1) FROM a)")
+@query("a08_agreement_summary", _SQL + "SELECT metric, value FROM (SELECT 'N_single_label' AS metric, CAST(count(*) FILTER (labels = 1) AS DOUBLE) AS value FROM a UNION ALL SELECT 'N_multi_label', count(*) FILTER (labels > 1) FROM a UNION ALL SELECT 'Ratio_agreement', count(*) FILTER (labels > 1 AND kinds = 1) / nullif(count(*) FILTER (labels > 1), 0) FROM a UNION ALL SELECT 'N_disagreement', count(*) FILTER (labels > 1 AND kinds > 1) FROM a)")
 def agreement(spark, d):
     return labels.agreement_summary(samples(spark, d))
 
@@ -54,7 +54,7 @@ def disagreements(spark, d):
     return labels.top_disagreements(samples(spark, d)).withColumn("n_labels", F.col("n_labels").cast("long"))
 
 
-@query("a12_j18_o03_m27_labellers", _SQL + ", f AS (SELECT e.*, a.labels, a.kinds, c.n FROM e JOIN a ON e.url = a.url JOIN c ON c.url = e.url AND c.label = e.label) SELECT labeller, count(*) FILTER (labels > 1 AND kinds = 1) AS is_full_agreement, count(*) FILTER (labels > 1 AND n > 1) AS has_one_agreement, count(*) FILTER (labels > 1) AS \"QTY_labels_with_multi_lbls\", count(*) AS \"QTY_labels\", count(*) FILTER (labels > 1 AND kinds = 1) / count(*) FILTER (labels > 1) AS ratio_full_agreement, count(*) FILTER (labels > 1 AND n > 1) / count(*) FILTER (labels > 1) AS ratio_one_agreement FROM f GROUP BY labeller")
+@query("a12_j18_o03_m27_labellers", _SQL + ", f AS (SELECT e.*, a.labels, a.kinds, c.n FROM e JOIN a ON e.url = a.url JOIN c ON c.url = e.url AND c.label = e.label) SELECT labeller, count(*) FILTER (labels > 1 AND kinds = 1) AS is_full_agreement, count(*) FILTER (labels > 1 AND n > 1) AS has_one_agreement, count(*) FILTER (labels > 1) AS \"QTY_labels_with_multi_lbls\", count(*) AS \"QTY_labels\", count(*) FILTER (labels > 1 AND kinds = 1) / count(*) FILTER (labels > 1) AS ratio_full_agreement, count(*) FILTER (labels > 1 AND n > 1) / count(*) FILTER (labels > 1) AS ratio_one_agreement FROM f GROUP BY labeller HAVING count(*) FILTER (labels > 1) > 0")
 def labellers(spark, d):
     return labels.labeller_summary(samples(spark, d))
 
