@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenweb.functions import urls
 from lumenweb.functions.fixed import LIMITS
 from lumenweb.operators.common import true
+from lumenweb.operators.ranks import with_positions, with_positions_within
 
 
 def normalize(df: DataFrame, url: str = "url") -> DataFrame:
@@ -37,33 +38,17 @@ def chunk_size(file: Column) -> Column:
 
 def with_chunks(df: DataFrame, file: str, order: list[str]) -> DataFrame:
     """The number of each row's chunk in its file. Only where chunks are wanted as data; files of any size are split by Spark itself."""
-    place = F.row_number().over(Window.partitionBy(file).orderBy(*order)) - 1
-    return df.withColumn("chunk", F.floor(place / chunk_size(F.col(file))).cast("int"))
+    placed = with_positions_within(df, file, order, "_place")
+    return placed.withColumn("chunk", F.floor(F.col("_place") / chunk_size(F.col(file))).cast("int")).drop("_place")
 
 
 def with_batches(df: DataFrame, k: int, order: list[str], n: int | None = None) -> DataFrame:
-    """Batches of ceil(n / k) rows in order. Counted in two steps, so that no task sees all rows."""
+    """Batches of ceil(n / k) rows in order."""
     n = df.count() if n is None else n
     size = max(1, -(-n // k))
     return with_positions(df, order, "_position").withColumn("batch", F.floor(F.col("_position") / size).cast("int")).drop("_position")
 
 
-def with_positions(df: DataFrame, order: list[str], out: str, buckets: int = 256) -> DataFrame:
-    """Each row's place from 0 in the order: ranks within ranges of the first order column, plus what lies below each range."""
-    first = order[0]
-    bounds = df.select(F.percentile_approx(first, [i / buckets for i in range(1, buckets)], 10_000).alias("b")).first()["b"] if dict(df.dtypes)[first] in ("int", "bigint", "double", "float") else None
-    if bounds is None:
-        ranged = df.withColumn("_range", F.substring(F.rpad(F.hex(F.encode(F.coalesce(F.col(first).cast("string"), F.lit("")), "UTF-8")), 8, "0"), 1, 8))
-    else:
-        edges = F.array(*[F.lit(b) for b in sorted(set(bounds))])
-        ranged = df.withColumn("_range", F.size(F.filter(edges, lambda e: e < F.col(first))))
-    counts = ranged.groupBy("_range").count()
-    below = F.coalesce(F.sum("count").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each range
-    counts = counts.select("_range", below.alias("_below"))
-    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
-    return ranged.withColumn("_place", place).join(counts, "_range").withColumn(out, F.col("_below") + F.col("_place")).drop("_range", "_place", "_below")
-
-
 def visit_metrics(documents: DataFrame, seconds: float | None = None) -> DataFrame:
     """(achieved, error_rate in percent, visits per minute)."""
     rate = F.floor(F.round(100.0 * F.sum(true(F.col("to_revisit")).cast("int")) / F.count("*"), 1))

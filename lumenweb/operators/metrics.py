@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lumenweb.functions.fixed import ERROR_ACCURACY, LABELS, PREVALENCE, REGISTRAR_ACCURACY
 from lumenweb.operators.common import true
+from lumenweb.operators.ranks import below, ranged
 
 
 def to_class(probability: Column, threshold: float = 0.5, inclusive: bool = False) -> Column:
@@ -30,11 +31,8 @@ def binary(df: DataFrame, actual: str = "actual", probability: str = "pred", thr
 def auc(df: DataFrame, actual: str = "actual", probability: str = "pred") -> DataFrame:
     """(auc): from the counts of each distinct probability, so ties count half; null if a class is missing."""
     counts = df.groupBy(F.col(probability).alias("p")).agg(F.count_if(F.col(actual) == 1).alias("pos"), F.count_if(F.col(actual) != 1).alias("neg"))
-    # Probabilities are dealt by range; what lies below a range is counted once for each.
-    ranged = counts.withColumn("_r", F.floor(F.col("p") * 1000))
-    below = ranged.groupBy("_r").agg(F.sum("neg").alias("n")).select("_r", F.coalesce(F.sum("n").over(Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
-    inside = F.coalesce(F.sum("neg").over(Window.partitionBy("_r").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    parts = ranged.withColumn("_in", inside).join(F.broadcast(below), "_r")  # 1001 ranges at most
+    inside = F.coalesce(F.sum("neg").over(Window.partitionBy("_range").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = below(ranged(counts, ["p"]), F.col("neg"), "_base").withColumn("_in", inside)
     wins = F.sum(F.col("pos").cast("double") * (F.col("_base") + F.col("_in") + F.col("neg") / 2))
     return parts.agg(F.try_divide(wins, F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
 

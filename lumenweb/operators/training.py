@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lumenweb.operators.common import small
 from lumenweb.operators.metrics import binary
+from lumenweb.operators.ranks import with_positions_within
 
 # Settings of the two classifiers, and the grid.
 BINARY = {"stepSize": 0.5, "maxIter": 25, "maxDepth": 9, "minInstancesPerNode": 2}
@@ -38,8 +39,12 @@ def with_folds(df: DataFrame, target: str = "target", order: str = "id", k: int
 
 def ordered_folds(df: DataFrame, target: str = "target", order: str = "id", k: int = FOLDS) -> DataFrame:
     """fold as an unshuffled stratified split has it: the members of a class in order, in k runs, the first ones longer by one."""
-    w = Window.partitionBy(target).orderBy(order)
-    return df.withColumn("fold", F.ntile(k).over(w) - 1)
+    placed = with_positions_within(df, target, [order], "_place")
+    sizes = F.broadcast(df.groupBy(target).agg(F.count("*").alias("_n")).withColumnRenamed(target, "_class"))  # a row for each class
+    n, at = F.col("_n"), F.col("_place")
+    short, longer = F.floor(n / k), n % k
+    fold = F.when(at < longer * (short + 1), F.floor(at / (short + 1))).otherwise(longer + F.floor((at - longer * (short + 1)) / F.greatest(short, F.lit(1))))
+    return placed.join(sizes, F.col(target).eqNullSafe(F.col("_class"))).withColumn("fold", fold.cast("int")).drop("_place", "_n", "_class")
 
 
 def split(df: DataFrame, test_share: float, seed: int = 123, key: str = "id") -> tuple[DataFrame, DataFrame]:
