@@ -9,8 +9,9 @@ compared with all others; equal strings are brought together instead:
    smallest document are reported, the others are settled there; so a passage that a third of all documents hold comes
    from each bundle once, not from each document.
 2. A task holds all reports of an anchor. Runs of equal content: all but the smallest document's are removed. Where
-   contents differ (about the ends of repeats, and for anchors that are common phrases), the bytes of one run of each
-   content are asked for.
+   contents differ, a window that two runs share reaches over half of the way from the anchor at least to one side, so
+   runs can only share one if the bytes on that side are equal, which a short hash of them tells. The bytes of one run of
+   each content are asked for where that is so; a common phrase asks for nothing.
 3. Those bytes are put together by anchor, in shards whose suffix array is made by induced sorting, with permuted common
    prefixes (see suffixarray): neighbours in the array that share LENGTH bytes are equal windows, and all but those of
    the smallest document are removed. An anchor with very many contents is dealt on by its windows' hashes.
@@ -31,20 +32,29 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lumenweb.llm.common import MIN_LONG, materialize, shuffle_partitions
 from lumenweb.llm.suffixarray import permuted_prefixes, suffix_array
 
 LENGTH, GRAM = 50, 16
 #: Bytes of text that are hashed together, and bytes of runs in one suffix array.
-CHUNK, BLOCK = 2_000_000, 1_000_000
+CHUNK, BLOCK = 1_000_000, 500_000
+#: Parts of texts that are put together before they leave.
+PARTS = 20_000
+#: Results that are put together before they leave.
+ENTRIES = 1_000_000
+#: Documents whose texts are cut together.
+ROWS = 256
 #: Contents of an anchor from which on its windows are dealt on one by one.
 CROWD = 4096
 _U = np.uint64
 _C1, _C2, _C3 = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0xBF58476D1CE4E5B9)
+_PLACE = _U(0xFFFFFF)
 _BYTES = np.random.default_rng(12345).integers(1, 2**63, 256).astype(np.uint64)
 _BASE = 0xD1342543DE82EF95
 _INVERSE = pow(_BASE, -1, 2**64)
@@ -70,17 +80,23 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
-def runs(a: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """a: bytes of documents on end, ends: where each one ends. Returns (first window, number of windows, anchor, content's hash)."""
+def runs(a: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """a: bytes of documents on end, ends: where each one ends.
+
+    Returns (first window, number of windows, anchor, content's hash, hash of the bytes left of the anchor, of those right
+    of it). The two last are 0 where no window reaches that far; both are 0 if the anchor is found at several places.
+    """
     n = len(a)
     if n < length:
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 4
     w = a.astype(np.uint64)
     for shift in (1, 2, 4):
         w = w[:-shift] | (w[shift:] << _U(8 * shift))
-    h = _mix(w[:-8] * _C1 ^ (w[8:] * _C2 >> _U(7)) ^ w[8:] * _C2)
+    m = _mix(w[:-8] * _C1 ^ (w[8:] * _C2 >> _U(7)) ^ w[8:] * _C2)
     del w
-    width, reach, m = length - GRAM + 1, 1, h
+    # Of equal hashes the leftmost counts: a hash's low bits give way to its place.
+    m = (m & ~_PLACE) | np.arange(len(m), dtype=np.uint64)
+    width, reach = length - GRAM + 1, 1
     while 2 * reach <= width:
         m = np.minimum(m[:-reach], m[reach:])
         reach *= 2
@@ -88,15 +104,28 @@ def runs(a: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple[np.ndar
         m = np.minimum(m[: len(m) - (width - reach)], m[width - reach :])
     own = np.repeat(ends, np.diff(np.concatenate(([0], ends))))[: len(m)]
     valid = np.arange(len(m)) + length <= own
+    value = m & ~_PLACE
     fresh = np.ones(len(m), bool)
-    fresh[1:] = (m[1:] != m[:-1]) | ~valid[:-1] | (own[1:] != own[:-1])
+    fresh[1:] = (value[1:] != value[:-1]) | ~valid[:-1] | (own[1:] != own[:-1])
     first = np.flatnonzero(fresh & valid)
     stop = np.flatnonzero(valid & np.concatenate((fresh[1:] | ~valid[1:], [True])))
     count = stop - first + 1
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTES[a] * _power("up", n), out=sums[1:])
-    content = (sums[first + count + length - 1] - sums[first]) * _power("down", n)[first]
-    return first, count, m[first] * _C1, _mix(content ^ count.astype(np.uint64))
+    down = _power("down", n + 1)
+    content = (sums[first + count + length - 1] - sums[first]) * down[first]
+    place = (m[first] & _PLACE).astype(np.int64)
+    single = place == (m[stop] & _PLACE).astype(np.int64)
+    half = -(-(length - GRAM) // 2)
+
+    def side(begin: np.ndarray, there: np.ndarray) -> np.ndarray:
+        begin = np.where(there, begin, 0)
+        x = _mix((sums[begin + half] - sums[begin]) * down[begin]) >> _U(48)
+        return np.where(there & single, np.maximum(x, _U(1)), _U(0))
+
+    left = side(place - half, first <= place - half)
+    right = side(place + GRAM, stop >= place + GRAM + half - length)
+    return first, count, value[first] * _C1, _mix(content ^ count.astype(np.uint64)), left, right
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -129,47 +158,79 @@ def _settle(key: np.ndarray, content: np.ndarray, doc: np.ndarray) -> tuple[np.n
     return order, new, d == least
 
 
-def _by_document(doc: np.ndarray, extra: np.ndarray, *values: np.ndarray) -> Iterator[tuple]:
-    """(doc, extra, values' parts) for each document."""
+_PACKED = "owner int, kind int, n int, payload binary"
+_PACKED_TYPES = (pa.int32(), pa.int32(), pa.int32(), pa.binary())
+
+
+def _owner(doc: np.ndarray, extra: np.ndarray, owners: int) -> np.ndarray:
+    return (_mix(doc.view(np.uint64) * _C1 ^ extra.view(np.uint64) * _C2) % _U(owners)).astype(np.int64)
+
+
+def _packs(kind: int, owners: int, doc: np.ndarray, extra: np.ndarray, first: np.ndarray, *more: np.ndarray) -> Iterator[tuple]:
+    """(owner, kind, rows, payload): documents' rows put together by the owner of the document, so that there are as many rows as owners at most."""
     if not len(doc):
         return
-    order = np.lexsort((values[0], extra, doc))
-    doc, extra = doc[order], extra[order]
-    values = [v[order] for v in values]
-    cut = np.flatnonzero((doc[1:] != doc[:-1]) | (extra[1:] != extra[:-1])) + 1
-    bounds = np.concatenate(([0], cut, [len(doc)])).tolist()
+    owner = _owner(doc, extra, owners)
+    order = np.lexsort((first, extra, doc, owner))
+    columns = [x[order] for x in (doc, extra, first, *more)]
+    owner = owner[order]
+    bounds = np.concatenate(([0], np.flatnonzero(np.diff(owner)) + 1, [len(owner)])).tolist()
     for a, b in zip(bounds, bounds[1:], strict=False):
-        yield doc[a], extra[a], [v[a:b] for v in values]
+        parts = [_planes(x[a:b]) for x in columns]
+        yield int(owner[a]), kind, b - a, b"".join(len(x).to_bytes(4, "little") + x for x in parts)
+
 
+def _unpack(n: int, payload: bytes) -> list[np.ndarray]:
+    out, at = [], 0
+    while at < len(payload):
+        size = int.from_bytes(payload[at : at + 4], "little")
+        out.append(_unplanes(payload[at + 4 : at + 4 + size], n))
+        at += 4 + size
+    return out
 
-def _windows_payload(first: np.ndarray, count: np.ndarray) -> bytes:
-    return np.column_stack((first, count)).astype("<i8").tobytes()
 
+def _spans(columns: list[np.ndarray]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(doc, extra, places of its rows) of columns that begin with doc, extra and first."""
+    order = np.lexsort((columns[2], columns[1], columns[0]))
+    doc, extra = columns[0][order], columns[1][order]
+    bounds = np.concatenate(([0], np.flatnonzero((doc[1:] != doc[:-1]) | (extra[1:] != extra[:-1])) + 1, [len(doc)])).tolist()
+    for a, b in zip(bounds, bounds[1:], strict=False):
+        yield int(doc[a]), int(extra[a]), order[a:b]
 
-_RANGES = "id long, h long, kind int, payload binary"
 
+def _batch(rows: list[tuple], names: list[str], types: tuple) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) if rows else [[] for _ in names]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], names)
 
-def _ranges(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-    return pa.RecordBatch.from_arrays([pa.array([int(x) for x in cols[0]], pa.int64()), pa.array([int(x) for x in cols[1]], pa.int64()), pa.array(list(cols[2]), pa.int32()), pa.array(list(cols[3]), pa.binary())], ["id", "h", "kind", "payload"])
+
+def _packed(rows: Iterator[tuple], n: int = 1024) -> Iterator[pa.RecordBatch]:
+    names, some = ["owner", "kind", "n", "payload"], []
+    for r in rows:
+        some.append(r)
+        if len(some) == n:
+            yield _batch(some, names, _PACKED_TYPES)
+            some = []
+    if some:
+        yield _batch(some, names, _PACKED_TYPES)
 
 
-def _report(shards: int, length: int):
-    """Step 1."""
+def _report(shards: int, owners: int, length: int):
+    """Step 1. Rows of kind 0 are removed windows, by owner; those of kind 1 are reports, by shard of the anchor."""
 
     def bundle(ids: list[int], extras: list[int], parts: list[bytes], offsets: list[int]) -> Iterator[tuple]:
         ends = np.cumsum([len(p) for p in parts])
-        first, count, key, content = runs(np.frombuffer(b"".join(parts), np.uint8), ends, length)
+        first, count, key, content, left, right = runs(np.frombuffer(b"".join(parts), np.uint8), ends, length)
         if not len(first):
             return
         at = np.searchsorted(ends, first, "right")
         first = first - np.concatenate(([0], ends))[at] + np.array(offsets, np.int64)[at]
         doc, extra = np.array(ids, np.int64)[at], np.array(extras, np.int64)[at]
-        # A key travels as 40 bits, a content as 48.
+        # A key travels as 40 bits, a content as 48, a side as 16.
         key, content = key >> _U(24), content >> _U(16)
         order, _, least = _settle(key, content, doc)
-        for d, e, (f, c) in _by_document(*(x[order[~least]] for x in (doc, extra, first, count))):
-            yield int(key[0] % _U(shards)), 0, int(d), int(e), 1, _windows_payload(f, c)
+        gone = order[~least]
+        for owner, kind, n, payload in _packs(0, owners, doc[gone], extra[gone], first[gone], count[gone]):
+            yield owner % shards, kind, owner, n, payload
         keep = np.sort(order[least])
         shard = (key[keep] % _U(shards)).astype(np.int64)
         keep = keep[np.argsort(shard, kind="stable")]
@@ -177,16 +238,15 @@ def _report(shards: int, length: int):
         for s, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
             if a < b:
                 k = keep[a:b]
-                yield s, 1, 0, 0, b - a, b"".join(len(x).to_bytes(4, "little") + x for x in (_low(key[k], 5), _low(content[k], 6), _planes(doc[k]), _planes(extra[k]), _planes(first[k]), _planes(count[k])))
+                fields = (_low(key[k], 5), _low(content[k], 6), _low(left[k], 2), _low(right[k], 2), _planes(doc[k]), _planes(extra[k]), _planes(first[k]), _planes(count[k]))
+                yield s, 1, 0, b - a, b"".join(len(x).to_bytes(4, "little") + x for x in fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, extras, parts, offsets, size = [], [], [], [], 0
 
         def flush() -> pa.RecordBatch:
-            rows = list(bundle(ids, extras, parts, offsets))
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
-            types = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], ["shard", "kind", "id", "h", "n", "payload"])
+            types = (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+            return _batch(list(bundle(ids, extras, parts, offsets)), ["shard", "kind", "owner", "n", "payload"], types)
 
         for batch in batches:
             for i, e, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
@@ -209,73 +269,139 @@ def _report(shards: int, length: int):
     return run
 
 
-def _resolve(batches: Iterator[pa.RecordBatch], many: int) -> Iterator[pa.RecordBatch]:
-    """Step 2. Kinds of rows that leave: 0 removed windows; 1 runs whose bytes are wanted."""
-    got: list[list[np.ndarray]] = [[] for _ in range(6)]
+_WIDTHS = (5, 6, 2, 2)
+
+
+def _across(group: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """For each row whether its group holds another document."""
+    order = np.argsort(group, kind="stable")
+    g, d = group[order], doc[order]
+    begins = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
+    size = np.diff(np.append(begins, len(g)))
+    out = np.zeros(len(g), bool)
+    out[order] = np.repeat(np.minimum.reduceat(d, begins) != np.maximum.reduceat(d, begins), size)
+    return out
+
+
+def _resolve(batches: Iterator[pa.RecordBatch], many: int, owners: int) -> Iterator[pa.RecordBatch]:
+    """Step 2. Kinds of rows that leave: 0 removed windows; 1 runs whose bytes are wanted. Rows come by shard, and one shard at a time is in memory."""
+    now, reports = None, []
+    found: list[list[tuple]] = [[], []]
+    entries = 0
+
+    def resolve() -> None:
+        nonlocal entries
+        for told, columns in zip(found, _resolve_shard(reports, many), strict=True):
+            if len(columns[0]):
+                told.append(columns)
+                entries += len(columns[0])
+
+    def leave() -> Iterator[pa.RecordBatch]:
+        nonlocal entries
+        for kind, told in enumerate(found):
+            if told:
+                yield from _packed(_packs(kind, owners, *(np.concatenate(x) for x in zip(*told, strict=True))))
+        found[0], found[1], entries = [], [], 0
+
     for batch in batches:
         passed = []
-        for kind, i, h, n, payload in zip(*(batch.column(c).to_pylist() for c in (1, 2, 3, 4, 5)), strict=True):
+        for shard, kind, owner, n, payload in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
             if kind == 0:
-                passed.append((i, h, 0, payload))
+                passed.append((owner, 0, n, payload))
                 continue
-            fields, at = [], 0
-            for _ in range(6):
-                size = int.from_bytes(payload[at : at + 4], "little")
-                fields.append(payload[at + 4 : at + 4 + size])
-                at += 4 + size
-            for x, y in zip(got, (_unlow(fields[0], 5), _unlow(fields[1], 6), *(_unplanes(f, n) for f in fields[2:])), strict=True):
-                x.append(y)
-        if passed:
-            yield _ranges(passed)
-    if not got[0]:
-        return
-    key, content, doc, extra, first, count = (np.concatenate(x) for x in got)
+            if shard != now and reports:
+                resolve()
+                reports = []
+                if entries > ENTRIES:
+                    yield from leave()
+            now = shard
+            reports.append((n, payload))
+        yield from _packed(iter(passed))
+    if reports:
+        resolve()
+    yield from leave()
+
+
+def _resolve_shard(reports: list[tuple[int, bytes]], many: int) -> tuple[tuple, tuple]:
+    """(doc, extra, first, count) of what is removed, and (doc, extra, first, count, key, crowd) of what is asked for."""
+    got: list[list[np.ndarray]] = [[] for _ in range(8)]
+    for n, payload in reports:
+        fields, at = [], 0
+        for _ in range(8):
+            size = int.from_bytes(payload[at : at + 4], "little")
+            fields.append(payload[at + 4 : at + 4 + size])
+            at += 4 + size
+        for x, y in zip(got, (*map(_unlow, fields, _WIDTHS), *(_unplanes(f, n) for f in fields[4:])), strict=True):
+            x.append(y)
+    key, content, left, right, doc, extra, first, count = (np.concatenate(x) for x in got)
     del got
-    order, new, least = _settle(key, content, doc)
-    key, doc, extra, first, count = (x[order] for x in (key, doc, extra, first, count))
-    yield from _batches(((d, e, 0, _windows_payload(f, c)) for d, e, (f, c) in _by_document(*(x[~least] for x in (doc, extra, first, count)))))
-    # Anchors whose smallest documents, over contents, are more than one.
-    k, d, e, f, c = (x[least] for x in (key, doc, extra, first, count))
-    begins = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1]))) if len(k) else np.zeros(0, np.int64)
-    size = np.diff(np.concatenate((begins, [len(k)])))
-    lowest, highest = (np.repeat(fn.reduceat(d, begins), size) if len(k) else d for fn in (np.minimum, np.maximum))
-    contents = np.repeat(np.add.reduceat(new[least].astype(np.int64), begins), size) if len(k) else d
-    ask = (lowest != highest) & (contents > 1)
+    order, _, least = _settle(key, content, doc)
+    gone, kept = order[~least], order[least]
+    removed = doc[gone], extra[gone], first[gone], count[gone]
+    # One document's run of each content is left; those of an anchor that may share a window are looked at.
+    key, left, right, doc, extra, first, count = (x[kept] for x in (key, left, right, doc, extra, first, count))
+    ask = np.zeros(len(key), bool)
+    for side in (left, right):
+        some = np.flatnonzero(side)
+        if len(some):
+            ask[some] |= _across(key[some] << _U(16) | side[some], doc[some])
+    wild = (left == 0) & (right == 0)
+    if wild.any():
+        ask |= np.isin(key, np.unique(key[wild])) & _across(key, doc)
+    key, doc, extra, first, count = (x[ask] for x in (key, doc, extra, first, count))
+    size = np.unique(key, return_inverse=True, return_counts=True)
+    size = size[2][size[1].ravel()]
     crowd = np.where(size > many, -(-size // max(1, many // 4)), 1)
-    crowd = np.repeat(crowd, size)
-    yield from _batches(((x, y, 1, np.column_stack((p, q, r.view(np.int64), s)).astype("<i8").tobytes()) for x, y, (p, q, r, s) in _by_document(d[ask], e[ask], f[ask], c[ask], k[ask], crowd[ask])))
-
-
-def _batches(rows: Iterator[tuple], n: int = 4096) -> Iterator[pa.RecordBatch]:
-    some = []
-    for r in rows:
-        some.append(r)
-        if len(some) == n:
-            yield _ranges(some)
-            some = []
-    if some:
-        yield _ranges(some)
+    return removed, (doc, extra, first, count, key.view(np.int64), crowd)
 
 
 def _cut(shards: int, length: int):
-    """Step 3, first half: the bytes of the runs that are wanted, by the shard of their anchor."""
+    """Step 3, first half: the bytes of the runs that are wanted, by the shard of their anchor. Rows come by owner, requests before texts.
+
+    Of equal windows of a crowded anchor that some PARTS rows hold, only those of the smallest document go on to the shard; the
+    others are removed already, and leave as rows without bytes that are dealt by document.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, types = ["shard", "key", "id", "h", "first", "part"], (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        now, asks, wanted = None, [], None
+        out: list[tuple] = []
+        seen: dict[tuple[int, bytes], int] = {}
         for batch in batches:
-            out: list[tuple] = []
-            for i, h, asks, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
+            for owner, n, payload, i, h, text in zip(*(batch.column(c).to_pylist() for c in (0, 2, 3, 4, 5)), batch.column(6), strict=True):
+                if owner != now:
+                    now, asks, wanted = owner, [], None
+                if payload is not None:
+                    asks.append(_unpack(n, payload))
+                    continue
+                if not asks:
+                    continue
+                if wanted is None:
+                    columns = [np.concatenate(x) for x in zip(*asks, strict=True)]
+                    wanted = {(d, e): at for d, e, at in _spans(columns)}
+                at = wanted.get((i, h))
+                if at is None:
+                    continue
                 raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                for f, c, k, crowd in np.frombuffer(b"".join(asks), "<i8").reshape(-1, 4).tolist():
+                for f, c, k, crowd in zip(*(x[at].tolist() for x in columns[2:]), strict=True):
                     if crowd == 1:
                         out.append((k % shards, k, i, h, f, raw[f : f + c + length - 1]))
                     else:
                         for w in range(f, f + c):
                             part = raw[w : w + length]
                             own = (k * 1_000_003 + zlib.crc32(part) % crowd) % 2**62
-                            out.append((own % shards, own, i, h, w, part))
-            cols = list(zip(*out, strict=True)) if out else [[]] * 6
-            types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], ["shard", "key", "id", "h", "first", "part"])
+                            row, place = (own % shards, own, i, h, w, part), seen.setdefault((own, part), len(out))
+                            if place == len(out) or out[place][2] == i:
+                                out.append(row)
+                                continue
+                            if i < out[place][2]:
+                                row, out[place] = out[place], row
+                            out.append(((row[2] ^ row[4]) % shards, 0, *row[2:5], b""))
+                if len(out) >= PARTS:
+                    yield _batch(out, names, types)
+                    out, seen = [], {}
+        if out:
+            yield _batch(out, names, types)
 
     return run
 
@@ -306,57 +432,96 @@ def equal_windows(parts: list[bytes], doc: np.ndarray, length: int = LENGTH) ->
     return part[at], at - start[part[at]]
 
 
-def _sort_shard(length: int):
+def _sort_shard(owners: int, length: int):
     """Step 3, second half. Rows come sorted by anchor."""
 
-    def block(rows: list[tuple]) -> Iterator[tuple]:
+    def block(rows: list[tuple]) -> tuple[np.ndarray, ...]:
         parts, doc = [r[4] for r in rows], np.array([r[1] for r in rows], np.int64)
         part, window = equal_windows(parts, doc, length)
         extra, first = np.array([r[2] for r in rows], np.int64), np.array([r[3] for r in rows], np.int64)
-        for d, e, (f,) in _by_document(doc[part], extra[part], first[part] + window):
-            f = np.unique(f)
-            new = np.concatenate(([True], np.diff(f) > 1))
-            begin = f[new]
-            count = np.diff(np.append(np.flatnonzero(new), len(f)))
-            yield d, e, 0, _windows_payload(begin, count)
+        return doc[part], extra[part], first[part] + window
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
+        found: list[tuple] = []
+        removed: list[tuple] = []
         size = 0
         for batch in batches:
             for r in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3, 4, 5)), strict=True):
+                if not r[4]:
+                    removed.append(r[1:4])
+                    continue
                 if size >= BLOCK and r[0] != rows[-1][0]:
-                    yield from _batches(block(rows))
+                    found.append(block(rows))
                     rows, size = [], 0
                 rows.append(r)
                 size += len(r[4])
         if rows:
-            yield from _batches(block(rows))
+            found.append(block(rows))
+        if removed:
+            found.append(tuple(np.array(removed, np.int64).T))
+        if not found:
+            return
+        doc, extra, first = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((first, extra, doc))
+        doc, extra, first = doc[order], extra[order], first[order]
+        new = np.ones(len(doc), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (extra[1:] != extra[:-1]) | (first[1:] > first[:-1] + 1)
+        begin = np.flatnonzero(new)
+        last = np.append(begin[1:], len(doc)) - 1
+        if len(begin):
+            yield from _packed(_packs(0, owners, doc[begin], extra[begin], first[begin], first[last] - first[begin] + 1))
 
     return run
 
 
+def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, h, spans) of each document. Rows come by owner."""
+
+    def documents(got: list[list[np.ndarray]]) -> pa.RecordBatch:
+        columns = [np.concatenate(x) for x in zip(*got, strict=True)]
+        rows = [(d, e, np.column_stack((columns[2][at], columns[3][at])).astype("<i8").tobytes()) for d, e, at in _spans(columns)]
+        return _batch(rows, ["id", "h", "spans"], (pa.int64(), pa.int64(), pa.binary()))
+
+    now, got = None, []
+    for batch in batches:
+        for owner, n, payload in zip(*(batch.column(c).to_pylist() for c in (0, 2, 3)), strict=True):
+            if owner != now and got:
+                yield documents(got)
+                got = []
+            now = owner
+            got.append(_unpack(n, payload))
+    if got:
+        yield documents(got)
+
+
 def removed_windows(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
     """keyed: _sa_id, _sa_h, _sa_text. Returns (id, h, spans): packed (first window, number of windows) of each document that loses bytes."""
     spark = keyed.sparkSession
     parts = shuffle_partitions(spark)
-    shards = 4 * parts
-    told = keyed.select("_sa_id", "_sa_h", "_sa_text").mapInArrow(_report(shards, length), "shard int, kind int, id long, h long, n int, payload binary")
+    shards, owners = 8 * parts, parts
+    told = keyed.select("_sa_id", "_sa_h", "_sa_text").mapInArrow(_report(shards, owners, length), "shard int, kind int, owner int, n int, payload binary")
     many = CROWD
-    first = materialize(told.repartition(parts, "shard").mapInArrow(lambda batches: _resolve(batches, many), _RANGES), "suffix-first")
-    asks = first.where("kind = 1").groupBy("id", "h").agg(F.collect_list("payload").alias("asks"))  # at most a document's own runs
-    texts = asks.join(keyed.select(F.col("_sa_id").alias("id"), F.col("_sa_h").alias("h"), "_sa_text"), ["id", "h"])
-    bytes_ = texts.select("id", "h", "asks", "_sa_text").mapInArrow(_cut(shards, length), "shard int, key long, id long, h long, first long, part binary")
-    second = bytes_.repartition(parts, "shard").sortWithinPartitions("key").mapInArrow(_sort_shard(length), _RANGES)
-    second = materialize(second, "suffix-second")
-    return first.where("kind = 0").union(second).groupBy("id", "h").agg(F.collect_list("payload").alias("spans"))
+    first = materialize(told.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(lambda batches: _resolve(batches, many, owners), _PACKED), "suffix-first")
+
+    @F.pandas_udf("int")
+    def owner(i: pd.Series, h: pd.Series) -> pd.Series:
+        return pd.Series(_owner(i.to_numpy(), h.to_numpy(), owners))
 
+    none = F.lit(None)
+    asks = first.where("kind = 1").select("owner", F.lit(0).alias("turn"), "n", "payload", none.cast("long").alias("id"), none.cast("long").alias("h"), none.cast("string").alias("text"))
+    texts = keyed.select(owner("_sa_id", "_sa_h").alias("owner"), F.lit(1).alias("turn"), F.lit(0).alias("n"), none.cast("binary").alias("payload"), F.col("_sa_id").alias("id"), F.col("_sa_h").alias("h"), F.col("_sa_text").alias("text"))
+    both = asks.union(texts).repartition(parts, "owner").sortWithinPartitions("owner", "turn")
+    bytes_ = both.mapInArrow(_cut(shards, length), "shard int, key long, id long, h long, first long, part binary")
+    second = materialize(bytes_.repartition(parts, "shard").sortWithinPartitions("key").mapInArrow(_sort_shard(owners, length), _PACKED), "suffix-second")
+    return first.where("kind = 0").union(second).repartition(parts, "owner").sortWithinPartitions("owner").mapInArrow(_by_document, "id long, h long, spans binary")
 
-def cut_text(raw: bytes, spans: list[bytes] | None, length: int = LENGTH) -> tuple[bytes, int]:
+
+def cut_text(raw: bytes, spans: bytes | None, length: int = LENGTH) -> tuple[bytes, int]:
     """(what is left, number of removed runs)."""
     if not spans:
         return raw, 0
-    at = np.frombuffer(b"".join(spans), "<i8").reshape(-1, 2)
+    at = np.frombuffer(spans, "<i8").reshape(-1, 2)
     edge = np.zeros(len(raw) + 1, np.int64)
     np.add.at(edge, at[:, 0], 1)
     np.add.at(edge, at[:, 0] + at[:, 1] + length - 1, -1)
@@ -374,23 +539,29 @@ def _joined(docs: DataFrame, text_col: str, id_col: str, length: int) -> DataFra
     return keyed.join(spans, ["_sa_id", "_sa_h"], "left")
 
 
-def dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", length: int = LENGTH) -> DataFrame:
-    """docs with the remaining text (characters of which a byte is removed go wholly), and n_removed, n_spans."""
-    joined = _joined(docs, text_col, id_col, length)
-
-    @F.pandas_udf("text string, n_removed long, n_spans long")
-    def left(text, spans):
-        import pandas as pd
-
-        out = []
-        for t, s in zip(text, spans, strict=True):
-            raw = t.encode("utf-8", "surrogatepass") if t is not None else b""
-            kept, n = cut_text(raw, list(s) if s is not None else None, length)
-            out.append((kept.decode("utf-8", "ignore") if t is not None else None, len(raw) - len(kept), n))
-        return pd.DataFrame(out, columns=["text", "n_removed", "n_spans"])
+def dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", length: int = LENGTH, removed: str = "n_removed", spans: str = "n_spans") -> DataFrame:
+    """docs with the remaining text (characters of which a byte is removed go wholly), and how many bytes and runs went; columns of these two names are replaced."""
+    names = [c for c in docs.columns if c not in (removed, spans)]
+    at = names.index(text_col)
+    joined = _joined(docs, text_col, id_col, length).select(*[F.col(c).cast("string").alias(c) if c == text_col else F.col(c) for c in names], "_sa_spans")
+    schema = T.StructType([*joined.schema.fields[:-1], T.StructField(removed, T.LongType()), T.StructField(spans, T.LongType())])
 
-    out = joined.withColumn("_sa_out", left("_sa_text", "_sa_spans"))
-    return out.select(*[F.col("_sa_out.text").alias(c) if c == text_col else c for c in docs.columns], F.col("_sa_out.n_removed").alias("n_removed"), F.col("_sa_out.n_spans").alias("n_spans"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
+                texts, gone, runs_ = [], [], []
+                for t, s in zip(part.column(at), part.column(len(names)), strict=True):
+                    text = t.as_py()
+                    raw = (text or "").encode("utf-8", "surrogatepass")
+                    kept, n = cut_text(raw, s.as_py(), length)
+                    texts.append(text if n == 0 else kept.decode("utf-8", "ignore"))
+                    gone.append(len(raw) - len(kept))
+                    runs_.append(n)
+                columns = part.columns[:-1]
+                columns[at] = pa.array(texts, pa.string())
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(gone, pa.int64()), pa.array(runs_, pa.int64())], [*names, removed, spans])
+
+    return joined.mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lumenweb.llm import ann, quality, qualityrules, suffixdedup, toxicity, urlfilter
 from lumenweb.llm.suffixarray import permuted_prefixes, suffix_array
@@ -222,6 +223,8 @@ def test_suffix_dedup(docs, rows, empty):
     left = suffixdedup.dedup(docs)
     assert left.columns == [*docs.columns, "n_removed", "n_spans"]
     assert left.where("text is null").count() == 2
+    named = suffixdedup.dedup(docs.withColumn("n_removed", F.lit("theirs")), removed="_r", spans="_s")
+    assert named.select("n_removed").distinct().collect()[0][0] == "theirs"
 
 
 def test_suffix_dedup_of_hard_repeats(spark, monkeypatch):
