@@ -60,7 +60,7 @@ def fingerprints(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.fromiter((fingerprint(t, width) for t in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
+            fps = np.fromiter((fingerprint(t.as_py(), width) for t in batch.column(1)), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]], ["id", "fp", "hash"][: batch.num_columns])
 
     asked = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"), *(F.col(c).alias("hash") for c in carry))

@@ -334,7 +334,7 @@ def score(docs: DataFrame, labels: DataFrame, text_col: str = "text", out: str =
         scorer = Scorer(lexicon, gate)
         at = names.index(text_col)
         for batch in batches:
-            scores = np.fromiter((scorer.score(t) for t in batch.column(at).to_pylist()), np.float64, batch.num_rows)
+            scores = np.fromiter((scorer.score(t.as_py()) for t in batch.column(at)), np.float64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*names, out])
 
     return docs.mapInArrow(run, schema)
