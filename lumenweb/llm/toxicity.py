@@ -325,8 +325,9 @@ def _gate(texts: DataFrame, faint: list[tuple[str, int]], left: list[set[int]],
 
 
 def score(docs: DataFrame, labels: DataFrame, text_col: str = "text", out: str = "toxicity") -> DataFrame:
-    """docs with the column out: the score."""
+    """docs with the column out: the score; a column of that name is replaced."""
     lexicon, gate = learn(docs, labels)
+    docs = docs.drop(out)
     names = docs.columns
     schema = docs.withColumn(out, F.lit(0.0)).schema
 
