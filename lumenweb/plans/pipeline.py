@@ -1,7 +1,8 @@
-"""From crawl rows to final categories, as one plan.
+"""From crawl rows to final categories.
 
-Each page is parsed once, in one Python node; everything after it is expressions. Originals, targets and browser pages
-are three filters of the same classified rows, and two joins on the url put them together.
+Each page is parsed once, in one Python node, and the parsed pages are written once: social accounts, technologies,
+registrars and the decision each read their own columns of that table. Originals, targets and browser pages are three
+filters of the same classified rows, written once too, and two joins on the url put them together.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from lumenweb.operators import consolidate, output, parking, redirect, registrar
 from lumenweb.operators.common import add_missing, true
 from lumenweb.operators.visits import without_long_pages
 from lumenweb.plans.config import Config
+from lumenweb.sources.scratch import written
 
 
 def process_pages(crawl: DataFrame, config: Config = Config()) -> DataFrame:
@@ -51,6 +53,7 @@ def parking_results(pages: DataFrame, words: DataFrame, known_registrars: DataFr
     kind = F.coalesce(F.col("visit_kind"), F.lit("original")) if "visit_kind" in pages.columns else F.lit("original")
     out = classify(pages.withColumn("visit_kind", kind), words, known_registrars, predict, config)
     columns = [c for c in [*parking.RESULT, "is_error", "comment", "page_kind", *[c for c in out.columns if c.startswith("ml_feat_")]] if c in out.columns]
+    out = written(out.select("visit_kind", *columns), "results")
     parts = {k: out.where(F.col("visit_kind") == k).select(*columns) for k in ("original", "target", "browser")}
     # A placeholder stands under its target's url; the original's url is in original_url.
     first = parts["original"].withColumn("original_url", F.when(F.col("page_kind") == "redirect", F.col("original_url")))
@@ -63,7 +66,7 @@ def parking_results(pages: DataFrame, words: DataFrame, known_registrars: DataFr
 
 def run(domains: DataFrame, crawl: DataFrame, words: DataFrame, known_registrars: DataFrame, predict=None, config: Config = Config()) -> DataFrame:
     """The final table: a row for each domain of the list, with its categories."""
-    pages = process_pages(crawl, config)
+    pages = written(process_pages(crawl, config), "pages")
     originals = pages.where(F.coalesce(F.col("visit_kind"), F.lit("original")) == "original") if "visit_kind" in pages.columns else pages
     out = domains
     if config.do_classification:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
@@ -18,3 +18,10 @@ def scratch(spark: SparkSession, tag: str) -> str:
             current = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = current.get()
     return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """df as a table in the shared folder: what several branches of a plan use is made once, and each reads only its columns."""
+    path = scratch(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

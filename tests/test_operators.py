@@ -201,3 +201,25 @@ def test_everything_works_without_the_training_data_part(tmp_path):
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 100 and not any(k.startswith('op') for k in q) and not set(e.oracle_sql()) - set(q); print('fine')"
     said = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(copy), "HOME": str(tmp_path)}, timeout=120)
     assert said.stdout.strip() == "fine", said.stderr[-800:]
+
+
+def test_retraining_from_samples_to_report(spark, tmp_path):
+    from lumenweb.plans import retraining
+
+    rows = []
+    for i in range(60):
+        parked = i % 2 == 0
+        text = f"This domain is for sale. Buy the domain {i} now. The page is parked and registered." if parked else f"We bake bread number {i} every morning. Come and see our old shop near the river."
+        rows.append((f"u{i}.com", text, "en", "com" if i % 3 else "ee", [["for_sale" if parked else "high_content", f"w{i % 3}"]] * (2 if i % 4 else 1), [], "x/s.png", None, None, None))
+    rows += [("bad.com", "", "en", "com", [["starter", "w1"]], [], "s.png", None, None, None), ("tie.com", "text", "en", "com", [["unsure", "w1"], ["starter", "w2"]], [], "s.png", None, None, None)]
+    schema = "url string, html_text string, language string, tld string, user_choices array<array<string>>, user_comments array<array<string>>, ss_filename string, html_raw string, categorisation struct<category_lv4: string>, target double"
+    samples = readers.shape_samples(spark.createDataFrame(rows, schema)).drop("target")
+    report = retraining.run(samples, taxonomy.own(spark), folds=2, settings={"maxIter": 3, "maxDepth": 3}, ref_time="t")
+    told = report.tables["performance"].first()
+    assert (told.n_samples, told.accuracy) == (60, 1.0)
+    assert report.tables["error_analysis"].count() == 0
+    assert {r.step: r.removed for r in report.tables["log"].collect()} == {"final training samples": 60, "no text": 1, "unsure": 1}
+    assert report.tables["history"].first().ref_time == "t"
+    report.write(str(tmp_path / "report"))
+    again = training.PipelineModel.load(str(tmp_path / "report" / "model"))
+    assert training.predict(again, retraining.training_rows(samples, taxonomy.own(spark))).where("target <> predicted").count() == 0
