@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumenweb.llm.common import MIN_LONG, materialize, shuffle_partitions
+from lumenweb.llm.common import MIN_LONG, even_keys, materialize, shuffle_partitions
 from lumenweb.llm.suffixarray import permuted_prefixes, suffix_array
 
 LENGTH, GRAM = 50, 16
@@ -166,11 +166,11 @@ def _owner(doc: np.ndarray, extra: np.ndarray, owners: int) -> np.ndarray:
     return (_mix(doc.view(np.uint64) * _C1 ^ extra.view(np.uint64) * _C2) % _U(owners)).astype(np.int64)
 
 
-def _packs(kind: int, owners: int, doc: np.ndarray, extra: np.ndarray, first: np.ndarray, *more: np.ndarray) -> Iterator[tuple]:
+def _packs(kind: int, owners: np.ndarray, doc: np.ndarray, extra: np.ndarray, first: np.ndarray, *more: np.ndarray) -> Iterator[tuple]:
     """(owner, kind, rows, payload): documents' rows put together by the owner of the document, so that there are as many rows as owners at most."""
     if not len(doc):
         return
-    owner = _owner(doc, extra, owners)
+    owner = owners[_owner(doc, extra, len(owners))]
     order = np.lexsort((first, extra, doc, owner))
     columns = [x[order] for x in (doc, extra, first, *more)]
     owner = owner[order]
@@ -214,7 +214,7 @@ def _packed(rows: Iterator[tuple], n: int = 1024) -> Iterator[pa.RecordBatch]:
         yield _batch(some, names, _PACKED_TYPES)
 
 
-def _report(shards: int, owners: int, length: int):
+def _report(shards: np.ndarray, owners: np.ndarray, length: int):
     """Step 1. Rows of kind 0 are removed windows, by owner; those of kind 1 are reports, by shard of the anchor."""
 
     def bundle(ids: list[int], extras: list[int], parts: list[bytes], offsets: list[int]) -> Iterator[tuple]:
@@ -230,16 +230,17 @@ def _report(shards: int, owners: int, length: int):
         order, _, least = _settle(key, content, doc)
         gone = order[~least]
         for owner, kind, n, payload in _packs(0, owners, doc[gone], extra[gone], first[gone], count[gone]):
-            yield owner % shards, kind, owner, n, payload
+            yield int(shards[owner % len(shards)]), kind, owner, n, payload
         keep = np.sort(order[least])
-        shard = (key[keep] % _U(shards)).astype(np.int64)
-        keep = keep[np.argsort(shard, kind="stable")]
-        cuts = np.searchsorted((key[keep] % _U(shards)).astype(np.int64), np.arange(shards + 1)).tolist()
+        shard = (key[keep] % _U(len(shards))).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        keep = keep[order]
+        cuts = np.searchsorted(shard[order], np.arange(len(shards) + 1)).tolist()
         for s, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
             if a < b:
                 k = keep[a:b]
                 fields = (_low(key[k], 5), _low(content[k], 6), _low(left[k], 2), _low(right[k], 2), _planes(doc[k]), _planes(extra[k]), _planes(first[k]), _planes(count[k]))
-                yield s, 1, 0, b - a, b"".join(len(x).to_bytes(4, "little") + x for x in fields)
+                yield int(shards[s]), 1, 0, b - a, b"".join(len(x).to_bytes(4, "little") + x for x in fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, extras, parts, offsets, size = [], [], [], [], 0
@@ -283,7 +284,7 @@ def _across(group: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return out
 
 
-def _resolve(batches: Iterator[pa.RecordBatch], many: int, owners: int) -> Iterator[pa.RecordBatch]:
+def _resolve(batches: Iterator[pa.RecordBatch], many: int, owners: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Step 2. Kinds of rows that leave: 0 removed windows; 1 runs whose bytes are wanted. Rows come by shard, and one shard at a time is in memory."""
     now, reports = None, []
     found: list[list[tuple]] = [[], []]
@@ -355,7 +356,7 @@ def _resolve_shard(reports: list[tuple[int, bytes]], many: int) -> tuple[tuple,
     return removed, (doc, extra, first, count, key.view(np.int64), crowd)
 
 
-def _cut(shards: int, length: int):
+def _cut(shards: np.ndarray, length: int):
     """Step 3, first half: the bytes of the runs that are wanted, by the shard of their anchor. Rows come by owner, requests before texts.
 
     Of equal windows of a crowded anchor that some PARTS rows hold, only those of the smallest document go on to the shard; the
@@ -365,6 +366,7 @@ def _cut(shards: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, types = ["shard", "key", "id", "h", "first", "part"], (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
         now, asks, wanted = None, [], None
+        deal, n_shards = shards.tolist(), len(shards)
         out: list[tuple] = []
         seen: dict[tuple[int, bytes], int] = {}
         for batch in batches:
@@ -385,18 +387,18 @@ def _cut(shards: int, length: int):
                 raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
                 for f, c, k, crowd in zip(*(x[at].tolist() for x in columns[2:]), strict=True):
                     if crowd == 1:
-                        out.append((k % shards, k, i, h, f, raw[f : f + c + length - 1]))
+                        out.append((deal[k % n_shards], k, i, h, f, raw[f : f + c + length - 1]))
                     else:
                         for w in range(f, f + c):
                             part = raw[w : w + length]
                             own = (k * 1_000_003 + zlib.crc32(part) % crowd) % 2**62
-                            row, place = (own % shards, own, i, h, w, part), seen.setdefault((own, part), len(out))
+                            row, place = (deal[own % n_shards], own, i, h, w, part), seen.setdefault((own, part), len(out))
                             if place == len(out) or out[place][2] == i:
                                 out.append(row)
                                 continue
                             if i < out[place][2]:
                                 row, out[place] = out[place], row
-                            out.append(((row[2] ^ row[4]) % shards, 0, *row[2:5], b""))
+                            out.append((deal[(row[2] ^ row[4]) % n_shards], 0, *row[2:5], b""))
                 if len(out) >= PARTS:
                     yield _batch(out, names, types)
                     out, seen = [], {}
@@ -432,7 +434,7 @@ def equal_windows(parts: list[bytes], doc: np.ndarray, length: int = LENGTH) ->
     return part[at], at - start[part[at]]
 
 
-def _sort_shard(owners: int, length: int):
+def _sort_shard(owners: np.ndarray, length: int):
     """Step 3, second half. Rows come sorted by anchor."""
 
     def block(rows: list[tuple]) -> tuple[np.ndarray, ...]:
@@ -499,14 +501,14 @@ def removed_windows(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
     """keyed: _sa_id, _sa_h, _sa_text. Returns (id, h, spans): packed (first window, number of windows) of each document that loses bytes."""
     spark = keyed.sparkSession
     parts = shuffle_partitions(spark)
-    shards, owners = 8 * parts, parts
+    shards, owners = even_keys(8, parts), even_keys(1, parts)
     told = keyed.select("_sa_id", "_sa_h", "_sa_text").mapInArrow(_report(shards, owners, length), "shard int, kind int, owner int, n int, payload binary")
     many = CROWD
     first = materialize(told.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(lambda batches: _resolve(batches, many, owners), _PACKED), "suffix-first")
 
     @F.pandas_udf("int")
     def owner(i: pd.Series, h: pd.Series) -> pd.Series:
-        return pd.Series(_owner(i.to_numpy(), h.to_numpy(), owners))
+        return pd.Series(owners[_owner(i.to_numpy(), h.to_numpy(), len(owners))])
 
     none = F.lit(None)
     asks = first.where("kind = 1").select("owner", F.lit(0).alias("turn"), "n", "payload", none.cast("long").alias("id"), none.cast("long").alias("h"), none.cast("string").alias("text"))

@@ -295,3 +295,13 @@ def test_weak_beginnings_are_learned(spark):
     out = toxicity.scores(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
     held = [r for r in out if r.held_out]
     assert sum(r.predicted == (r.doc_id % 6 == 0) for r in held) / len(held) > 0.97
+
+
+def test_even_keys_are_dealt_evenly(spark):
+    from lumenweb.llm.common import even_keys
+
+    for each, parts in ((1, 1), (1, 7), (3, 12), (8, 51)):
+        keys = even_keys(each, parts)
+        assert len(set(keys.tolist())) == each * parts
+        dealt = spark.createDataFrame([(int(k),) for k in keys], "k int").repartition(parts, "k").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+        assert sorted(r["p"] for r in dealt) == list(range(parts)) and {r["count"] for r in dealt} == {each}
