@@ -27,10 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumenweb.llm.common import even_keys
+
 #: SHARD_VALUES: components of the vectors of one shard. BLOCK: queries that are searched together.
 DIMS, CONFIDENCE, LEAF, SHARD_VALUES, BLOCK, SEED = 8, 0.98, 256, 4_000_000, 512, 42
 #: Scores that are so near to the k-th are computed again row by row, so that equal vectors have equal scores.
 CLOSE = 1e-9
+EVEN_SLOTS = 1024
 
 
 def chi_square_cdf(x: np.ndarray, dims: int) -> np.ndarray:
@@ -156,12 +159,14 @@ def nearest(df: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id",
     rows = rows.where(F.size("v") == dim)
     shards = max(1, -(-n * dim // SHARD_VALUES))
     groups = max(1, -(-spark.sparkContext.defaultParallelism // shards))
-    slot = lambda shard, group: (shard * groups + group).cast("int").alias("slot")
+    # A partition for each slot; where there are many, chance deals them well enough.
+    keys = F.array(*[F.lit(int(x)) for x in even_keys(1, shards * groups)]) if shards * groups <= EVEN_SLOTS else None
+    number = lambda shard, group: (shard * groups + group).cast("int")
+    slot = lambda shard, group: (number(shard, group) if keys is None else F.get(keys, number(shard, group))).alias("slot")
     every_group, every_shard = (F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("other") for m in (groups, shards))
     kept = rows.select("id", "v", F.lit(0).alias("kind"), F.pmod(F.xxhash64("id", "v"), F.lit(shards)).alias("own"), every_group).select("id", "v", "kind", slot(F.col("own"), F.col("other")))
     asked = rows.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v")).select("id", "v", F.lit(1).alias("kind"), F.pmod(F.xxhash64("id"), F.lit(groups)).alias("own"), every_shard).select("id", "v", "kind", slot(F.col("other"), F.col("own")))
-    # More partitions than slots, so that few slots share one.
-    dealt = kept.union(asked).repartition(8 * shards * groups, "slot").sortWithinPartitions("slot", "kind")
+    dealt = kept.union(asked).repartition(shards * groups, "slot").sortWithinPartitions("slot", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, own, index = None, [], None
