@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -36,6 +37,13 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Shuffle files stay until the driver collects the plans that made them; after a large step that is written, it is asked to. The first collection only finds the plans, the second one lets go of them."""
+    for _ in range(2):
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
+
+
 def _murmur3(x: np.ndarray) -> np.ndarray:
     """Spark's hash of an int, by which rows are dealt to partitions (Murmur3, 32 bits, seed 42)."""
     turn = lambda v, n: (v << np.uint32(n)) | (v >> np.uint32(32 - n))

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumenweb.llm.common import MIN_LONG, even_keys, materialize, shuffle_partitions
+from lumenweb.llm.common import MIN_LONG, even_keys, materialize, release, shuffle_partitions
 from lumenweb.llm.suffixarray import permuted_prefixes, suffix_array
 
 LENGTH, GRAM = 50, 16
@@ -505,6 +505,7 @@ def removed_windows(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
     told = keyed.select("_sa_id", "_sa_h", "_sa_text").mapInArrow(_report(shards, owners, length), "shard int, kind int, owner int, n int, payload binary")
     many = CROWD
     first = materialize(told.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(lambda batches: _resolve(batches, many, owners), _PACKED), "suffix-first")
+    release(spark)
 
     @F.pandas_udf("int")
     def owner(i: pd.Series, h: pd.Series) -> pd.Series:
@@ -516,6 +517,7 @@ def removed_windows(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
     both = asks.union(texts).repartition(parts, "owner").sortWithinPartitions("owner", "turn")
     bytes_ = both.mapInArrow(_cut(shards, length), "shard int, key long, id long, h long, first long, part binary")
     second = materialize(bytes_.repartition(parts, "shard").sortWithinPartitions("key").mapInArrow(_sort_shard(owners, length), _PACKED), "suffix-second")
+    release(spark)
     return first.where("kind = 0").union(second).repartition(parts, "owner").sortWithinPartitions("owner").mapInArrow(_by_document, "id long, h long, spans binary")
 
 
