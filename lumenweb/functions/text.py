@@ -31,14 +31,18 @@ def split_words(sentence: Column) -> Column:
     return F.split(sentence, WORD_GAP)
 
 
+#: Nothing, or one mark, between white space.
+_NOTHING = r"(?U)\A\s*(?:[" + "".join("\\" + c if c.isascii() else c for c in PUNCTUATION) + r"]\s*)?\z"
+
+
 def _says_something(text: Column) -> Column:
-    return let(strip(text), lambda t: (t != "") & ~t.isin(*PUNCTUATION))
+    """The first test is right for nearly every word, and is over at its first letter."""
+    return text.rlike(r"[\p{L}\p{N}]") | ~text.rlike(_NOTHING)
 
 
 def cut_long(sentences: Column, size: int = LIMITS["sentence"]) -> Column:
     """Sentences in pieces of at most size characters."""
-    pieces = F.transform(sentences, lambda s: F.transform(F.sequence(F.lit(0), F.floor(F.length(s) / size).cast("int")), lambda i: F.substring(s, i * size + 1, F.lit(size))))
-    return F.filter(F.flatten(pieces), lambda p: p != "")
+    return F.flatten(F.transform(sentences, lambda s: F.regexp_extract_all(s, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))))
 
 
 def url_token(text: Column, url: Column) -> Column:
