@@ -53,6 +53,25 @@ def non_text(spark, d):
     return parsed(spark, d).where(f"{K} in (0, 6)").select("page_id", "non_text")
 
 
+# The attributes of the page's elements, for each kind; a script's own text comes after "::".
+NON_TEXT = case(
+    "page_id", 8,
+    "concat('href:/x', page_id, '__title:Gohref:#topalt:Pic')",
+    "concat('http-equiv:Refresh__content:0; URL=http://www.t', page_id, '.com/a')",
+    "concat('http-equiv:refresh__url://t', page_id, '.com__content:5')",
+    "concat('src:http://f', page_id, '.com/')",
+    "concat('src:http://f', page_id, '.com/allowfullscreen:__src:http://video.com')",
+    "concat('src:http://g', page_id, '.comsrc:empty.html')",
+    "concat('::window.location.href=\"//w', page_id, '.com/p\";')",
+    "concat('property:og:title__content:aname:twitter:card__content:bitemprop:chref:https://www.twitter.com/p', page_id, 'src:/js/jquery-3.5.1.min.js?v=2::src:local::')",
+)
+
+
+@query("h03_non_text_of_all_kinds", f"SELECT page_id, {NON_TEXT} AS non_text FROM pages")
+def non_text_of_all_kinds(spark, d):
+    return parsed(spark, d).select("page_id", "non_text")
+
+
 @query("h04_titles_of_all_pages", "SELECT page_id, trim(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS title FROM pages")
 def titles(spark, d):
     pages = table(spark, d, "pages").select("page_id", "url", F.col("html").alias("raw_text"))
@@ -62,7 +81,7 @@ def titles(spark, d):
 @query("h04_text_of_all_pages")
 def texts(spark, d):
     pages = table(spark, d, "pages").select("page_id", "url", F.col("html").alias("raw_text"))
-    return parse_pages(pages).select("page_id", "html_data.clean_text", F.size("html_data.all_links").alias("n_links"), "html_data.tag_quantity", "html_data.n_lines_html")
+    return parse_pages(pages).select("page_id", "html_data.clean_text", "html_data.non_text", F.size("html_data.all_links").alias("n_links"), "html_data.tag_quantity", "html_data.n_lines_html")
 
 
 @query("h05_h06_script_libraries", f"SELECT page_id, CASE {K} WHEN 7 THEN 'jquery.min.js' ELSE '' END AS parsed, CASE {K} WHEN 7 THEN 'jquery.min.js' ELSE '' END AS matched FROM pages")
