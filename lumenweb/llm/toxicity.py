@@ -37,10 +37,10 @@ from lumenweb.llm.common import materialize
 TRAIN_ROWS = 6000
 #: Texts that must hold a term, share of them that must be toxic, and toxic texts that no other term explains.
 SUPPORT, PRECISION, NEW = 5, 0.97, 3
-#: Terms that go on to the next step of learning at most; those held by most texts first.
-TERMS = 60_000
-#: Weak beginnings: toxic texts that must hold one, how much oftener they do than others, beginnings at most; and what may gate them.
-WEAK_SUPPORT, LIFT, WEAK = 8, 4.0, 40
+#: Weak beginnings: toxic texts that must hold one, how much oftener they do than others; and what may gate them.
+WEAK_SUPPORT, LIFT = 8, 4.0
+#: Terms that a task counts before it gives them on; the counts are added up after it.
+FLUSH = 200_000
 COUNTS, DENSITIES = (2, 3, 4), (0.0, 0.002, 0.005, 0.01, 0.015, 0.02)
 THRESHOLD = 0.3
 
@@ -202,19 +202,35 @@ def _terms(text: str) -> set[str]:
     return words | {w[:n] + "*" for w in words for n in range(3, min(9, len(w)))}
 
 
-def _count(texts: DataFrame, only: frozenset[str] | None) -> DataFrame:
-    """(term, toxic, texts): one for each task, so that little is shuffled."""
+def _count(texts: DataFrame) -> DataFrame:
+    """(term, toxic, other): the texts of each class that hold the term; counts of a task are put together before the shuffle."""
+
+    def told(toxic: int, c: Counter) -> pa.RecordBatch:
+        n = pa.array(list(c.values()), pa.int64())
+        none = pa.array(np.zeros(len(c), np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), *((n, none) if toxic else (none, n))], ["term", "toxic", "other"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, Counter] = {0: Counter(), 1: Counter()}
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                terms = _terms(text)
-                found[toxic].update(terms if only is None else terms & only)
+                found[toxic].update(_terms(text))
+                if len(found[toxic]) >= FLUSH:
+                    yield told(toxic, found[toxic])
+                    found[toxic] = Counter()
         for toxic, c in found.items():
-            yield pa.RecordBatch.from_pydict({"term": pa.array(list(c), pa.string()), "toxic": pa.array([toxic] * len(c), pa.int32()), "n": pa.array(list(c.values()), pa.int64())})
+            yield told(toxic, c)
+
+    return texts.select("text", "toxic").mapInArrow(run, "term string, toxic long, other long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+
 
-    return texts.select("text", "toxic").mapInArrow(run, "term string, toxic int, n long").groupBy("term", "toxic").agg(F.sum("n").alias("n"))
+def _candidates(texts: DataFrame, sizes: dict[int, int]) -> dict[str, tuple[int, int]]:
+    """Toxic and other texts of each term that is precise enough or a weak beginning, however many these are; and of the seeds."""
+    n, m = F.col("toxic"), F.col("other")
+    lift = (n / max(1, sizes.get(1, 0))) / (F.greatest(m, F.lit(0.5)) / max(1, sizes.get(0, 0)))
+    faint = F.col("term").endswith("*") & (n >= WEAK_SUPPORT) & (lift >= LIFT)
+    wanted = (n >= PRECISION * (n + m)) | faint | F.col("term").isin(*" ".join(SEEDS.values()).split())
+    return {r["term"]: (r["toxic"], r["other"]) for r in _count(texts).where((n >= SUPPORT) & wanted).collect()}
 
 
 def held_out(id_col: str = "doc_id"):
@@ -237,8 +253,8 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[l
     texts = training_texts(docs, labels, "toxic", rows)
     toxic = texts.where("toxic = 1")
     sizes = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
-    counts = {r["term"]: r["n"] for r in _count(toxic, None).where(F.col("n") >= SUPPORT).orderBy(F.desc("n"), "term").limit(TERMS).collect()}
-    other = {r["term"]: r["n"] for r in _count(texts.where("toxic = 0"), frozenset(counts)).collect()}
+    found = _candidates(texts, sizes)
+    counts, other = {t: n for t, (n, _) in found.items()}, {t: m for t, (_, m) in found.items() if m}
     exact = {t: (n, other.get(t, 0)) for t, n in counts.items() if n >= PRECISION * (n + other.get(t, 0))}
     # The longest term of a chain of beginnings says what the shorter ones say.
     for x in sorted(exact, key=len, reverse=True):
@@ -298,7 +314,6 @@ def _gate(texts: DataFrame, faint: list[tuple[str, int]], left: list[set[int]],
             stems.append(t)
     if not stems:
         return Gate()
-    stems = stems[:WEAK]
     lexicon = [(t.removesuffix("*"), t.endswith("*"), INSULT, 0.9) for t, *_ in strong]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
