@@ -10,8 +10,8 @@ Learning reads labels of at most ``TRAIN_ROWS`` documents of each class (those w
 outside the held-out quarter), each distinct text once. A term is a word or a word's beginning; it is taken if nearly all
 texts that hold it are toxic and it explains texts that no earlier term explains, so that words which merely stand beside
 insults in copied texts are not learned. Beginnings of words that toxic texts hold far more often than others, but that
-others hold too, are weak: they count only in texts that have several of them, and many for their length; how many is
-learned. lang, source and doc_id are never inputs.
+others hold too, are weak: they count only in runs of clauses that have several of them, and many for their length, so
+that what stands around a passage doesn't dilute it; how many is learned. lang, source and doc_id are never inputs.
 
 Edge cases: null and empty texts score 0; without usable labels the seeds stand alone; a null doc_id isn't held out;
 repeated rows are scored each; an empty table gives an empty result; long texts cost time in proportion.
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -112,15 +113,30 @@ def grammar() -> Transducer:
 
 @dataclass(frozen=True)
 class Gate:
-    """Weak beginnings, how many of them a text must have and what share of its words, and how surely it is toxic then."""
+    """Weak beginnings, how many of them a run of clauses must have and what share of its words, and how surely a text with one is toxic."""
 
     stems: tuple[str, ...] = ()
     count: int = 2
     density: float = 0.0
     probability: float = 0.5
 
-    def opens(self, found: int, text: str) -> bool:
-        return found >= self.count and found >= self.density * (text.count(" ") + text.count("\n") + 1)
+    def opened(self, found: list[int], words: list[int]) -> np.ndarray:
+        """Which clauses are in a run that has enough; found and words are each clause's."""
+        end, n = dense_runs(found, words, self.density)
+        begin = np.flatnonzero(n >= self.count)
+        steps = np.zeros(len(found) + 1, np.int64)
+        np.add.at(steps, begin, 1)
+        np.add.at(steps, end[begin], -1)
+        return np.cumsum(steps)[:-1] > 0
+
+
+def dense_runs(found: list[int], words: list[int], density: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each clause the end of the longest run from it on that holds density for each word, and what that run holds."""
+    hits = np.concatenate(([0], np.cumsum(found)))
+    sums = hits - density * np.concatenate(([0], np.cumsum(words)))
+    top = np.maximum.accumulate(sums[::-1])[::-1]
+    end = np.searchsorted(-top, -(sums[:-1] - 1e-9), side="right") - 1
+    return end, hits[end] - hits[:-1]
 
 
 class Scorer:
@@ -159,6 +175,18 @@ class Scorer:
     def weak_count(self, text: str) -> int:
         return sum(any(w[:n] in self.weak for n in self.weak_lengths) for w in _WORD.findall(text))
 
+    def weak_runs(self, text: str, densities: Iterable[float]) -> list[int]:
+        """For each density the most weak beginnings in a run of clauses that is so dense."""
+        clauses = _CLAUSE.split(text)
+        found, words = [self.weak_count(c) for c in clauses], [len(c.split()) for c in clauses]
+        return [int(dense_runs(found, words, d)[1].max()) for d in densities]
+
+    def opened(self, text: str, faint: set[int]) -> tuple[list[int], np.ndarray]:
+        """(ends of the clauses, which of them the gate opens); faint: where weak beginnings stand."""
+        ends = [m.start() for m in _CLAUSE.finditer(text)] + [len(text)]
+        found = np.bincount([bisect_left(ends, i) for i in faint], minlength=len(ends))
+        return ends, self.gate.opened(found, [len(c.split()) for c in _CLAUSE.split(text)])
+
     def clause(self, text: str, weak: bool = False) -> float:
         got = [self.lookup(w, weak) for w in _WORD.findall(text)]
         factors = self.machine.factors(s for s, _ in got)
@@ -176,8 +204,9 @@ class Scorer:
         hits = {(end - n + 1, n) for end, n in self.automaton.iter(low)}
         hits = sorted((i, n) for i, n in hits if i == 0 or not low[i - 1].isalpha())
         faint = {i for i, n in hits if low[i : i + n] in self.weak}
-        weak = self.gate.opens(len(faint), low)
-        starts = sorted({i for i, n in hits if weak or low[i : i + n] not in self.weak})
+        ends, opened = self.opened(low, faint) if len(faint) >= self.gate.count else ([], ())
+        weak = lambda i: bool(ends) and bool(opened[bisect_left(ends, i)])
+        starts = sorted({i for i, n in hits if low[i : i + n] not in self.weak or weak(i)})
         total, done = 0.0, 0
         for i in starts:
             if i < done:
@@ -191,7 +220,7 @@ class Scorer:
                 begin = max(0, i - 2000)
             end = _CLAUSE.search(low, i)
             stop = end.start() if end else len(low)
-            total += self.clause(low[max(begin, done) : stop], weak)
+            total += self.clause(low[max(begin, done) : stop], weak(i))
             done = stop
         return 1 - math.exp(-total)
 
@@ -322,17 +351,15 @@ def _gate(texts: DataFrame, faint: list[tuple[str, int]], left: list[set[int]],
             rows = []
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 low = text.lower()
-                k = scorer.weak_count(low)
-                if k and not scorer.strong(low):
-                    rows.append((y, min(k, max(COUNTS)), sum(k >= d * (low.count(" ") + low.count("\n") + 1) for d in DENSITIES)))
-            cols = list(zip(*rows, strict=True)) if rows else [[], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int32()) for c in cols], ["y", "k", "d"])
+                if scorer.weak_count(low) and not scorer.strong(low):
+                    rows.append((y, [min(k, max(COUNTS)) for k in scorer.weak_runs(low, DENSITIES)]))
+            yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in rows], pa.int32()), pa.array([k for _, k in rows], pa.list_(pa.int32()))], ["y", "k"])
 
-    cells = texts.select("text", "toxic").mapInArrow(measure, "y int, k int, d int").groupBy("y", "k", "d").count().collect()
+    cells = texts.select("text", "toxic").mapInArrow(measure, "y int, k array<int>").groupBy("y", "k").count().collect()
     best, gate = 0.0, Gate()
     for c in COUNTS:
         for i, d in enumerate(DENSITIES):
-            n, m = (sum(r["count"] for r in cells if r["y"] == y and r["k"] >= c and r["d"] > i) for y in (1, 0))
+            n, m = (sum(r["count"] for r in cells if r["y"] == y and r["k"][i] >= c) for y in (1, 0))
             f1 = 2 * n / max(1, n1 + n + m)
             if n >= WEAK_SUPPORT and f1 > best and n > m:
                 best, gate = f1, Gate(tuple(stems), c, d, (n + 1) / (n + m + 2))

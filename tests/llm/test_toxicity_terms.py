@@ -3,6 +3,8 @@
 import random
 import zlib
 
+import pytest
+
 from lumenweb.llm import toxicity
 
 
@@ -21,3 +23,26 @@ def test_rare_terms_of_many_are_learned(spark):
     labels = spark.createDataFrame([(i, 1, int(i in ids[:300])) for i in ids], "doc_id long, quality int, toxic int")
     lexicon, _ = toxicity.learn(docs, labels)
     assert any("zyxquorb".startswith(term) for term, *_ in lexicon)
+
+
+def test_a_passage_is_not_diluted():
+    s = toxicity.Scorer([("idiot", False, "I", 0.9)], toxicity.Gate(("réeux",), 2, 0.01, 0.9))
+    passage, around = "Un réeuxan et des réeuxou.", "Des mots sans rien. " * 5000
+    alone = s.score(passage)
+    assert alone >= 0.9
+    assert s.score(around + passage + around) == pytest.approx(alone)
+    assert s.score("Un réeuxan. Des réeuxou. " + around) == pytest.approx(0.9)
+    assert s.score("Un réeuxan. " + around + "Des réeuxou.") == 0
+
+
+def test_dense_runs_are_all_found():
+    rng = random.Random(3)
+    for _ in range(300):
+        n, count, density = rng.randint(1, 12), rng.randint(1, 3), rng.choice([0.0, 0.1, 0.3])
+        found, words = [rng.choice([0, 0, 1, 2]) for _ in range(n)], [rng.randint(0, 9) for _ in range(n)]
+        want = [False] * n
+        for b in range(n):
+            for e in range(b + 1, n + 1):
+                if sum(found[b:e]) >= max(count, density * sum(words[b:e]) - 1e-9):
+                    want[b:e] = [True] * (e - b)
+        assert toxicity.Gate((), count, density).opened(found, words).tolist() == want
