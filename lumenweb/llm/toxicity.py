@@ -1,8 +1,8 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Words become symbols: insults (a seed lexicon, and terms learned from labelled rows), threats, targets, negations and
-reporting words, in four languages. Four transducers, each of which knows one kind of context, are composed into one
-machine; it runs over the clauses that hold a trigger and gives each trigger a factor: doubled for an insult at a target,
+reporting words, in four languages. Transducers, each of which knows one kind of context, are composed into one machine,
+before which one from right to left marks the threats that a target follows; it runs over the clauses that hold a trigger and gives each trigger a factor: doubled for an insult at a target,
 a threat counts only at a target, negated and reported triggers count for less. A term's evidence is -log(1 - p), p its
 precision on the training rows; a text's score is 1 - exp(-sum of factor times evidence).
 
@@ -45,7 +45,10 @@ FLUSH = 200_000
 COUNTS, DENSITIES = (2, 3, 4), (0.0, 0.002, 0.005, 0.01, 0.015, 0.02)
 THRESHOLD = 0.3
 
-INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = "ITYNRO"
+#: AIMED is a threat that a target follows; only the transducer from right to left puts it out.
+INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER, AIMED = SYMBOLS = "ITYNROA"
+#: Words from a threat to its target at most.
+AIM = 3
 SEEDS = {
     INSULT: "idiot moron loser scum trash worthless pathetic disgusting stupid imbecile scumbag bastard idioten dummkopf abschaum trottel crétin imbécile connard ordure estúpido imbécil basura asqueroso",
     THREAT: "kill hurt destroy strangle stab shoot beat töten umbringen verletzen tuer frapper égorger matar golpear destruir",
@@ -74,7 +77,7 @@ class Transducer:
         todo, seen = [start], {start}
         while todo:
             a, b = state = todo.pop()
-            for symbol in "ITYNRO":
+            for symbol in SYMBOLS:
                 a2, mid, f = self.step(a, symbol)
                 b2, out, g = other.step(b, mid)
                 arcs[state, symbol] = (a2, b2), out, f * g
@@ -83,34 +86,63 @@ class Transducer:
                     todo.append((a2, b2))
         return Transducer(arcs, start)
 
-    def factors(self, symbols: Iterable[str]) -> list[float]:
+    def run(self, symbols: Iterable[str]) -> list[tuple[str, float]]:
         state, out = self.start, []
         for s in symbols:
-            state, _, f = self.step(state, s)
-            out.append(f)
+            state, mid, f = self.step(state, s)
+            out.append((mid, f))
         return out
 
+    def factors(self, symbols: Iterable[str]) -> list[float]:
+        return [f for _, f in self.run(symbols)]
+
 
 def _near(cue: str, reach: int, effects: dict[str, float], default: dict[str, float]) -> Transducer:
     """Within reach symbols after cue, the factors of effects hold; else those of default."""
     arcs = {}
     for left in range(reach + 1):
-        for s in "ITYNRO":
+        for s in SYMBOLS:
             nxt = reach if s == cue else max(0, left - 1)
             arcs[left, s] = (nxt, s, (effects if left else default).get(s, 1.0))
     return Transducer(arcs)
 
 
+def _follows(reach: int) -> Transducer:
+    """From right to left: a threat becomes AIMED if a target is among the reach symbols after it."""
+    return Transducer({(left, s): (reach if s == TARGET else max(0, left - 1), AIMED if s == THREAT and left else s, 1.0) for left in range(reach + 1) for s in SYMBOLS})
+
+
+def _threats(reach: int) -> Transducer:
+    """A threat counts if it is AIMED or a target is among the reach symbols before it."""
+    arcs = {}
+    for left in range(reach + 1):
+        for s in SYMBOLS:
+            nxt = reach if s == TARGET else max(0, left - 1)
+            arcs[left, s] = (nxt, THREAT, 1.0) if s == AIMED else (nxt, s, 0.0 if s == THREAT and not left else 1.0)
+    return Transducer(arcs)
+
+
 @lru_cache(maxsize=1)
 def grammar() -> Transducer:
     insults = Transducer({(0, INSULT): (1, INSULT, 1.0), (1, INSULT): (1, INSULT, 1.25)})  # piled up in a clause
-    threats = _near(TARGET, 4, {}, {})
+    threats = _threats(AIM)
     targets = _near(TARGET, 4, {INSULT: 2.0}, {})
     negations = _near(NEGATION, 2, {INSULT: 0.5, THREAT: 0.1}, {})
     reports = _near(REPORT, 6, {INSULT: 0.6, THREAT: 0.3}, {})
     return insults.then(threats).then(targets).then(negations).then(reports)
 
 
+@lru_cache(maxsize=1)
+def _marker() -> Transducer:
+    return _follows(AIM)
+
+
+def weigh(symbols: list[str]) -> list[float]:
+    """The factor of each symbol of a clause."""
+    marked = [s for s, _ in _marker().run(reversed(symbols))]
+    return grammar().factors(reversed(marked))
+
+
 @dataclass(frozen=True)
 class Gate:
     """Weak beginnings, how many of them a run of clauses must have and what share of its words, and how surely a text with one is toxic."""
@@ -143,7 +175,6 @@ class Scorer:
     """lexicon: (term, is a word's beginning, symbol, probability)."""
 
     def __init__(self, lexicon: list[tuple[str, bool, str, float]], gate: Gate = Gate()):
-        self.machine = grammar()
         self.gate, self.weak = gate, frozenset(gate.stems)
         # So many as the gate asks for are together as sure as it is.
         self.weak_evidence = -math.log(1 - gate.probability) / gate.count
@@ -189,13 +220,7 @@ class Scorer:
 
     def clause(self, text: str, weak: bool = False) -> float:
         got = [self.lookup(w, weak) for w in _WORD.findall(text)]
-        factors = self.machine.factors(s for s, _ in got)
-        total, aimed = 0.0, [i for i, (s, _) in enumerate(got) if s == TARGET]
-        for i, ((s, e), f) in enumerate(zip(got, factors, strict=True)):
-            if s == THREAT and not any(abs(i - j) <= 3 for j in aimed):
-                continue
-            total += e * f
-        return total
+        return sum(e * f for (_, e), f in zip(got, weigh([s for s, _ in got]), strict=True))
 
     def score(self, text: str | None) -> float:
         low = (text or "").lower()

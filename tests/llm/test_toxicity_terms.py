@@ -46,3 +46,16 @@ def test_dense_runs_are_all_found():
                 if sum(found[b:e]) >= max(count, density * sum(words[b:e]) - 1e-9):
                     want[b:e] = [True] * (e - b)
         assert toxicity.Gate((), count, density).opened(found, words).tolist() == want
+
+
+def test_threats_count_only_at_a_target():
+    assert toxicity.grammar().factors("TO") == [0.0, 1.0]
+    assert toxicity.weigh(list("TOOY"))[0] == toxicity.weigh(list("YOOT"))[3] == 1.0
+    assert toxicity.weigh(list("TOOOY"))[0] == toxicity.weigh(list("YOOOT"))[4] == 0.0
+    assert toxicity.weigh(list("NTY")) == [1.0, 0.1, 1.0]
+    rng = random.Random(8)
+    others = toxicity._near("N", 2, {"I": 0.5, "T": 0.1}, {}).then(toxicity._near("R", 6, {"I": 0.6, "T": 0.3}, {}))
+    for _ in range(500):
+        symbols = [rng.choice("TYNRO") for _ in range(rng.randint(1, 14))]
+        aimed = [any(y == "Y" and abs(i - j) <= 3 for j, y in enumerate(symbols)) for i in range(len(symbols))]
+        assert toxicity.weigh(symbols) == [f if s != "T" or a else 0.0 for s, a, f in zip(symbols, aimed, others.factors(symbols), strict=True)]
