@@ -8,7 +8,8 @@ source the minimum covariance determinant is approached by concentration steps,
 and quartiles on, the three quarters of the group nearest by Mahalanobis distance give the next mean and covariance.
 Covariances get a floor, since most clean documents have the same value in three of the five. The distances are scaled
 so that their median is the chi-square one, and documents beyond ``CUTOFF`` are rejected. Groups under ``MIN_GROUP``
-documents are pooled by language, then over all; a pool that small rejects nothing.
+documents are pooled by language; what is left in pools that small is judged by the estimate over all documents that pass
+the base rules. Only where all of these are fewer than ``MIN_GROUP`` is nothing rejected.
 
 Each step is a partial aggregation of a narrow table, so a group of any size is no hot task.
 
@@ -31,6 +32,8 @@ SHARE, STEPS, MIN_GROUP = 0.75, 3, 100
 FLOORS = (0.8, 0.07, 0.04, 0.15, 0.13)
 D = len(FLOORS)
 BROADCAST_ROWS = 100_000
+#: The key of the estimate over all documents.
+ALL = "a"
 SPACE = r"[ \t\n\x0B\f\r]+"
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -107,13 +110,13 @@ def _cholesky(df: DataFrame) -> DataFrame:
 
 
 def _groups(rows: DataFrame) -> DataFrame:
-    """(lang, source, group): the key under which each language and source is estimated; null where it is too small."""
+    """(lang, source, group): the key under which each language and source is judged; null where the whole table is too small."""
     sizes = rows.groupBy("_q_lang", "_q_source").count()
     level = sizes.withColumn("_q_own", F.col("count") >= MIN_GROUP)
     pools = level.where("not _q_own").groupBy("_q_lang").agg(F.sum("count").alias("_q_pool"))
     level = level.join(pools, "_q_lang", "left")
-    rest = level.where(f"not _q_own and _q_pool < {MIN_GROUP}").agg(F.coalesce(F.sum("count"), F.lit(0)).alias("_q_rest"))
-    key = F.when(F.col("_q_own"), F.concat_ws("\x01", F.lit("s"), "_q_lang", "_q_source")).when(F.col("_q_pool") >= MIN_GROUP, F.concat_ws("\x01", F.lit("l"), "_q_lang")).when(F.lit(int(rest.first()[0]) >= MIN_GROUP), F.lit("a"))
+    total = F.lit(int(rows.count()) >= MIN_GROUP)
+    key = F.when(F.col("_q_own"), F.concat_ws("\x01", F.lit("s"), "_q_lang", "_q_source")).when(F.col("_q_pool") >= MIN_GROUP, F.concat_ws("\x01", F.lit("l"), "_q_lang")).when(total, F.lit(ALL))
     return materialize(level.select("_q_lang", "_q_source", key.alias("_q_g")), "mcd-groups")
 
 
@@ -121,7 +124,9 @@ def fit(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
     """stats: materialized, with _q_lang, _q_source and the base columns. Returns (groups, estimates by group)."""
     rows = stats.where("not base_failed").withColumns(_vector())
     groups = _groups(rows)
-    rows = rows.join(_small(groups), ["_q_lang", "_q_source"]).where("_q_g is not null").select("_q_g", *[f"_q_x{i}" for i in range(D)])
+    # The estimate over all is made of all rows, not only of those that it judges.
+    keys = F.array(F.col("_q_g")) if groups.where(F.col("_q_g") == ALL).isEmpty() else F.array_distinct(F.array("_q_g", F.lit(ALL)))
+    rows = rows.join(_small(groups), ["_q_lang", "_q_source"]).where("_q_g is not null").select(F.explode(keys).alias("_q_g"), *[f"_q_x{i}" for i in range(D)])
     rows = materialize(rows, "mcd-rows")
     middle = [F.percentile_approx(f"_q_x{i}", [0.25, 0.5, 0.75]).alias(f"_q_p{i}") for i in range(D)]
     start = rows.groupBy("_q_g").agg(*middle)
