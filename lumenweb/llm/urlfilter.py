@@ -1,9 +1,9 @@
 """URL filter: rules first, then gradient-boosted trees on lexical features. DataFrame and SQL functions only.
 
 Rules name a host (and its subdomains) and the beginning of a path; the longest that fits decides. URLs that a rule
-decides are the labelled URLs from which the trees learn (at most ``TRAIN_ROWS``, those with the smallest hash); the
-trees then judge the URLs that no rule fits. Features: lengths, depth, digit ratio, entropy of the characters, counts of
-parameters, hyphens and labels, and the smoothed share of blocked URLs of the host's suffix among the labelled ones.
+decides are the labelled URLs from which the trees learn (at most ``TRAIN_ROWS`` distinct ones of each class, those with the
+smallest hash); the trees then judge the URLs that no rule fits. Features: lengths, depth, digit ratio, entropy of the characters, counts of
+parameters, hyphens and labels, and the smoothed share of blocked URLs of the host's suffix among all distinct labelled ones.
 Fitted trees become one SQL expression, so scoring is a projection of the scan.
 
 Edge cases: host and path are empty for a null url or one without ``://``; such URLs have features too (all zero for
@@ -25,8 +25,6 @@ from lumenweb.llm.common import materialize
 
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 TRAIN_ROWS, TREES, DEPTH, STEP, SMOOTHING = 8000, 10, 3, 0.2, 20.0
-#: Suffixes with statistics; those of most labelled URLs first.
-SUFFIXES = 500
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -83,16 +81,20 @@ def _tree_sql(text: str, names: tuple[str, ...]) -> str:
     return node(0)[0]
 
 
-def fit(labelled: DataFrame) -> tuple[str, dict[str, float], float]:
-    """labelled: url, host, path, label (1: block). Returns the margin as SQL, and the suffixes' shares and the common one."""
-    rows = labelled.orderBy(F.xxhash64("url"), "url").limit(TRAIN_ROWS)
-    train = materialize(features(rows).withColumn("label", F.col("label").cast("double")), "url-train")
-    n, blocked = train.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
-    mean = blocked / n if n else 0.0
-    if not 0 < blocked < n:
-        return ("1.0D" if mean == 1 else "-1.0D"), {}, mean
-    stats = train.groupBy("suffix").agg(F.count("*").alias("n"), F.sum("label").alias("s")).orderBy(F.desc("n"), "suffix").limit(SUFFIXES)
-    rates = {r["suffix"]: (r["s"] + SMOOTHING * mean) / (r["n"] + SMOOTHING) for r in stats.collect()}
+def fit(labelled: DataFrame) -> tuple[str, DataFrame | None, float]:
+    """labelled: url, label (1: block). Returns the margin as SQL, and the suffixes' shares (suffix, suffix_rate) and the common one."""
+    known = labelled.groupBy("url").agg(F.first("label").cast("double").alias("label"))
+    host, path = split_url(F.col("url"))
+    suffixes = known.select(F.element_at(F.split(host, r"\."), -1).alias("suffix"), "label").groupBy("suffix").agg(F.count("*").alias("n"), F.sum("label").alias("s"))
+    suffixes = materialize(suffixes, "url-suffixes")
+    total, blocks = suffixes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("s"), F.lit(0.0))).first()
+    mean = blocks / total if total else 0.0
+    if not 0 < blocks < total:
+        return ("1.0D" if mean == 1 else "-1.0D"), None, mean
+    some = [known.where(F.col("label") == y).orderBy(F.xxhash64("url"), "url").limit(TRAIN_ROWS) for y in (0, 1)]
+    train = materialize(features(some[0].union(some[1]).withColumns({"host": host, "path": path})), "url-train")
+    n, blocked = train.agg(F.count("*"), F.sum("label")).first()
+    rates = suffixes.select("suffix", ((F.col("s") + SMOOTHING * mean) / (F.col("n") + SMOOTHING)).alias("suffix_rate"))
     # Rules name what they block more often than what they allow; both classes weigh the same.
     weighed = with_rate(train, rates, mean).withColumn("weight", F.when(F.col("label") == 1, n / (2 * blocked)).otherwise(n / (2 * (n - blocked))))
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(weighed).select("features", "label", "weight")
@@ -101,9 +103,11 @@ def fit(labelled: DataFrame) -> tuple[str, dict[str, float], float]:
     return " + ".join(parts), rates, mean
 
 
-def with_rate(df: DataFrame, rates: dict[str, float], mean: float) -> DataFrame:
-    known = F.create_map(*[F.lit(x) for kv in rates.items() for x in kv]) if rates else None
-    return df.withColumn("suffix_rate", F.coalesce(known[F.col("suffix")], F.lit(mean)) if known is not None else F.lit(mean))
+def with_rate(df: DataFrame, rates: DataFrame | None, mean: float) -> DataFrame:
+    """Adds suffix_rate; the table of rates is as large as there are suffixes, so Spark chooses how it is joined."""
+    if rates is None:
+        return df.withColumn("suffix_rate", F.lit(mean))
+    return df.join(rates, "suffix", "left").withColumn("suffix_rate", F.coalesce("suffix_rate", F.lit(mean)))
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -112,6 +116,6 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     base = pages.select("page_id", F.col("url").cast("string").alias("url")).withColumns({"host": host, "path": path})
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     base = base.withColumns({"rule": name, "ruled": verdict})
-    sql, rates, mean = fit(base.where("ruled is not null").select("url", "host", "path", (F.col("ruled") == "block").cast("int").alias("label")))
+    sql, rates, mean = fit(base.where("ruled is not null").select("url", (F.col("ruled") == "block").cast("int").alias("label")))
     scored = with_rate(features(base), rates, mean).withColumn("margin", F.expr(sql))
     return scored.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.when(F.col("margin") > 0, "block").otherwise("allow")).alias("verdict"), "margin")
