@@ -1,17 +1,20 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words become symbols: insults (a seed lexicon, and terms learned from labelled rows), threats, targets, negations and
-reporting words, in four languages. Transducers, each of which knows one kind of context, are composed into one machine,
-before which one from right to left marks the threats that a target follows; it runs over the clauses that hold a trigger and gives each trigger a factor: doubled for an insult at a target,
-a threat counts only at a target, negated and reported triggers count for less. A term's evidence is -log(1 - p), p its
-precision on the training rows; a text's score is 1 - exp(-sum of factor times evidence).
+Words become symbols: insults (a seed lexicon, and terms learned from labelled rows), weak insults, threats, targets,
+negations and reporting words, in four languages; the end of a clause is a symbol too. Transducers, each of which knows
+one kind of context, are composed into one machine, before which one from right to left marks the threats and insults
+that a target follows. The machine reads the clauses that hold a trigger and gives each trigger a factor: doubled for an
+insult at a target on either side, a threat counts only at a target, negated and reported triggers count for less, and a
+weak insult counts only as part of a chain. All contexts but chains end with the clause. A term's evidence is
+-log(1 - p), p its precision on the training rows; a text's score is 1 - exp(-sum of factor times evidence).
 
 Learning reads labels of at most ``TRAIN_ROWS`` documents of each class (those with the smallest hash of their doc_id,
 outside the held-out quarter), each distinct text once. A term is a word or a word's beginning; it is taken if nearly all
-texts that hold it are toxic and it explains texts that no earlier term explains, so that words which merely stand beside
-insults in copied texts are not learned. Beginnings of words that toxic texts hold far more often than others, but that
-others hold too, are weak: they count only in runs of clauses that have several of them, and many for their length, so
-that what stands around a passage doesn't dilute it; how many is learned. lang, source and doc_id are never inputs.
+texts that hold it are toxic, unless most of them hold one earlier term too (a rare term must explain texts that no
+earlier term explains), so that words which merely stand beside insults in copied texts are not learned. Beginnings of words that toxic texts hold far more often than others, but that
+others hold too, are weak: a transducer whose pattern is learned counts them in chains only, so many of them of which
+each is at most so many clauses after the one before; what stands around a passage doesn't dilute it. lang, source and
+doc_id are never inputs.
 
 Edge cases: null and empty texts score 0; without usable labels the seeds stand alone; a null doc_id isn't held out;
 repeated rows are scored each; an empty table gives an empty result; long texts cost time in proportion.
@@ -38,17 +41,20 @@ from lumenweb.llm.common import materialize
 TRAIN_ROWS = 6000
 #: Texts that must hold a term, share of them that must be toxic, and toxic texts that no other term explains.
 SUPPORT, PRECISION, NEW = 5, 0.97, 3
+#: Share of a term's toxic texts that hold one earlier term, from which on it merely stands beside that.
+BESIDE = 0.8
 #: Weak beginnings: toxic texts that must hold one, how much oftener they do than others; and what may gate them.
 WEAK_SUPPORT, LIFT = 8, 4.0
 #: Terms that a task counts before it gives them on; the counts are added up after it.
 FLUSH = 200_000
-COUNTS, DENSITIES = (2, 3, 4), (0.0, 0.002, 0.005, 0.01, 0.015, 0.02)
+#: Links that a chain of weak beginnings may have to have, and clauses that may end between two of them.
+COUNTS, REACHES = (2, 3, 4, 6), (0, 1, 2, 3, 5, 9, 17)
 THRESHOLD = 0.3
 
-#: AIMED is a threat that a target follows; only the transducer from right to left puts it out.
-INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER, AIMED = SYMBOLS = "ITYNROA"
-#: Words from a threat to its target at most.
-AIM = 3
+#: AIMED is a threat that a target follows, STRUCK an insult; only the transducer from right to left puts them out. BREAK ends a clause.
+INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER, AIMED, STRUCK, WEAK, BREAK = SYMBOLS = "ITYNROAJW."
+#: Words from a threat, and from an insult, to its target at most.
+AIM, STRIKE = 3, 4
 SEEDS = {
     INSULT: "idiot moron loser scum trash worthless pathetic disgusting stupid imbecile scumbag bastard idioten dummkopf abschaum trottel crétin imbécile connard ordure estúpido imbécil basura asqueroso",
     THREAT: "kill hurt destroy strangle stab shoot beat töten umbringen verletzen tuer frapper égorger matar golpear destruir",
@@ -97,78 +103,96 @@ class Transducer:
         return [f for _, f in self.run(symbols)]
 
 
-def _near(cue: str, reach: int, effects: dict[str, float], default: dict[str, float]) -> Transducer:
-    """Within reach symbols after cue, the factors of effects hold; else those of default."""
+def _left(left: int, cue: str, symbol: str, reach: int) -> int:
+    """Symbols for which a context still holds after symbol: anew at the cue, and none after a clause."""
+    return reach if symbol == cue else 0 if symbol == BREAK else max(0, left - 1)
+
+
+def _near(cue: str, reach: int, effects: dict[str, float]) -> Transducer:
+    """Within reach symbols after cue the factors of effects hold."""
+    return Transducer({(left, s): (_left(left, cue, s, reach), s, effects.get(s, 1.0) if left else 1.0) for left in range(reach + 1) for s in SYMBOLS})
+
+
+def _follows() -> Transducer:
+    """From right to left: a threat becomes AIMED and an insult STRUCK if a target is near enough after it."""
+    arcs = {}
+    for left in range(max(AIM, STRIKE) + 1):
+        near = {THREAT: (AIMED, AIM), INSULT: (STRUCK, STRIKE)}
+        for s in SYMBOLS:
+            marked, reach = near.get(s, (s, 0))
+            arcs[left, s] = _left(left, TARGET, s, max(AIM, STRIKE)), marked if left > max(AIM, STRIKE) - reach else s, 1.0
+    return Transducer(arcs)
+
+
+def _threats() -> Transducer:
+    """A threat counts if it is AIMED or a target is among the AIM symbols before it."""
     arcs = {}
-    for left in range(reach + 1):
+    for left in range(AIM + 1):
         for s in SYMBOLS:
-            nxt = reach if s == cue else max(0, left - 1)
-            arcs[left, s] = (nxt, s, (effects if left else default).get(s, 1.0))
+            arcs[left, s] = _left(left, TARGET, s, AIM), THREAT if s == AIMED else s, 0.0 if s == THREAT and not left else 1.0
     return Transducer(arcs)
 
 
-def _follows(reach: int) -> Transducer:
-    """From right to left: a threat becomes AIMED if a target is among the reach symbols after it."""
-    return Transducer({(left, s): (reach if s == TARGET else max(0, left - 1), AIMED if s == THREAT and left else s, 1.0) for left in range(reach + 1) for s in SYMBOLS})
+def _insults() -> Transducer:
+    """Each further insult of a clause weighs more."""
+    return Transducer({(n, s): (0 if s == BREAK else 1 if s in (INSULT, STRUCK) else n, s, 1.25 if n and s in (INSULT, STRUCK) else 1.0) for n in (0, 1) for s in SYMBOLS})
 
 
-def _threats(reach: int) -> Transducer:
-    """A threat counts if it is AIMED or a target is among the reach symbols before it."""
+def _targets() -> Transducer:
+    """An insult at a target, before or after it, counts twice."""
     arcs = {}
-    for left in range(reach + 1):
+    for left in range(STRIKE + 1):
         for s in SYMBOLS:
-            nxt = reach if s == TARGET else max(0, left - 1)
-            arcs[left, s] = (nxt, THREAT, 1.0) if s == AIMED else (nxt, s, 0.0 if s == THREAT and not left else 1.0)
+            arcs[left, s] = _left(left, TARGET, s, STRIKE), INSULT if s == STRUCK else s, 2.0 if s == STRUCK or (s == INSULT and left) else 1.0
     return Transducer(arcs)
 
 
-@lru_cache(maxsize=1)
-def grammar() -> Transducer:
-    insults = Transducer({(0, INSULT): (1, INSULT, 1.0), (1, INSULT): (1, INSULT, 1.25)})  # piled up in a clause
-    threats = _threats(AIM)
-    targets = _near(TARGET, 4, {INSULT: 2.0}, {})
-    negations = _near(NEGATION, 2, {INSULT: 0.5, THREAT: 0.1}, {})
-    reports = _near(REPORT, 6, {INSULT: 0.6, THREAT: 0.3}, {})
-    return insults.then(threats).then(targets).then(negations).then(reports)
+def _chains(count: int, reach: int) -> Transducer:
+    """Weak insults count from the count-th of a chain on, for all before it too; a chain ends if more than reach clauses end without a link."""
+    arcs = {((0, 0), WEAK): ((1, reach), INSULT, 1.0 if count == 1 else 0.0)}
+    for n in range(1, count + 1):
+        for left in range(reach + 1):
+            arcs[(n, left), WEAK] = (min(n + 1, count), reach), INSULT, 0.0 if n + 1 < count else float(count) if n + 1 == count and n < count else 1.0
+            arcs[(n, left), BREAK] = (n, left - 1) if left else (0, 0), BREAK, 1.0
+    return Transducer(arcs, (0, 0))
+
+
+@lru_cache(maxsize=8)
+def grammar(count: int = 2, reach: int = 0) -> Transducer:
+    """Reads what the marker put out. Chains come last, as they hand weak insults on as insults, which here only negation and report may weigh."""
+    negations = _near(NEGATION, 2, {INSULT: 0.5, STRUCK: 0.5, WEAK: 0.5, THREAT: 0.1, AIMED: 0.1})
+    reports = _near(REPORT, 6, {INSULT: 0.6, STRUCK: 0.6, WEAK: 0.6, THREAT: 0.3, AIMED: 0.3})
+    return negations.then(reports).then(_insults()).then(_threats()).then(_targets()).then(_chains(count, reach))
 
 
 @lru_cache(maxsize=1)
 def _marker() -> Transducer:
-    return _follows(AIM)
+    return _follows()
 
 
-def weigh(symbols: list[str]) -> list[float]:
-    """The factor of each symbol of a clause."""
+def weigh(symbols: list[str], count: int = 2, reach: int = 0) -> list[float]:
+    """The factor of each symbol of a text."""
     marked = [s for s, _ in _marker().run(reversed(symbols))]
-    return grammar().factors(reversed(marked))
+    return grammar(count, reach).factors(reversed(marked))
 
 
 @dataclass(frozen=True)
 class Gate:
-    """Weak beginnings, how many of them a run of clauses must have and what share of its words, and how surely a text with one is toxic."""
+    """Weak beginnings, how long a chain of them must be and how many clauses may end between two links, and how surely a text with one is toxic."""
 
     stems: tuple[str, ...] = ()
     count: int = 2
-    density: float = 0.0
+    reach: int = 0
     probability: float = 0.5
 
-    def opened(self, found: list[int], words: list[int]) -> np.ndarray:
-        """Which clauses are in a run that has enough; found and words are each clause's."""
-        end, n = dense_runs(found, words, self.density)
-        begin = np.flatnonzero(n >= self.count)
-        steps = np.zeros(len(found) + 1, np.int64)
-        np.add.at(steps, begin, 1)
-        np.add.at(steps, end[begin], -1)
-        return np.cumsum(steps)[:-1] > 0
-
 
-def dense_runs(found: list[int], words: list[int], density: float) -> tuple[np.ndarray, np.ndarray]:
-    """For each clause the end of the longest run from it on that holds density for each word, and what that run holds."""
-    hits = np.concatenate(([0], np.cumsum(found)))
-    sums = hits - density * np.concatenate(([0], np.cumsum(words)))
-    top = np.maximum.accumulate(sums[::-1])[::-1]
-    end = np.searchsorted(-top, -(sums[:-1] - 1e-9), side="right") - 1
-    return end, hits[end] - hits[:-1]
+def longest_chain(places: list[int], reach: int) -> int:
+    """places: the clause of each weak beginning, in order."""
+    best = now = 0
+    for a, b in zip([None, *places], places, strict=False):
+        now = now + 1 if a is not None and b - a <= reach else 1
+        best = max(best, now)
+    return best
 
 
 class Scorer:
@@ -189,65 +213,47 @@ class Scorer:
             self.automaton.add_word(term, len(term))
         self.automaton.make_automaton()
 
-    def lookup(self, word: str, weak: bool = False) -> tuple[str, float]:
+    def lookup(self, word: str) -> tuple[str, float]:
         found = self.words.get(word, (OTHER, 0.0))
         if found[0] == OTHER:
             for n in self.lengths:
                 if word[:n] in self.stems:
                     return self.stems[word[:n]]
-            if weak and any(word[:n] in self.weak for n in self.weak_lengths):
-                return INSULT, self.weak_evidence
+            if any(word[:n] in self.weak for n in self.weak_lengths):
+                return WEAK, self.weak_evidence
         return found
 
     def strong(self, text: str) -> bool:
         """Whether a term of the lexicon is in a text in lower case."""
-        return any(self.lookup(w)[1] > 0 for w in _WORD.findall(text))
-
-    def weak_count(self, text: str) -> int:
-        return sum(any(w[:n] in self.weak for n in self.weak_lengths) for w in _WORD.findall(text))
-
-    def weak_runs(self, text: str, densities: Iterable[float]) -> list[int]:
-        """For each density the most weak beginnings in a run of clauses that is so dense."""
-        clauses = _CLAUSE.split(text)
-        found, words = [self.weak_count(c) for c in clauses], [len(c.split()) for c in clauses]
-        return [int(dense_runs(found, words, d)[1].max()) for d in densities]
+        return any(s not in (WEAK, OTHER) and e > 0 for s, e in map(self.lookup, _WORD.findall(text)))
 
-    def opened(self, text: str, faint: set[int]) -> tuple[list[int], np.ndarray]:
-        """(ends of the clauses, which of them the gate opens); faint: where weak beginnings stand."""
-        ends = [m.start() for m in _CLAUSE.finditer(text)] + [len(text)]
-        found = np.bincount([bisect_left(ends, i) for i in faint], minlength=len(ends))
-        return ends, self.gate.opened(found, [len(c.split()) for c in _CLAUSE.split(text)])
+    def weak_places(self, text: str) -> list[int]:
+        """The clause of each weak beginning of a text in lower case."""
+        return [i for i, c in enumerate(_CLAUSE.split(text)) for w in _WORD.findall(c) if any(w[:n] in self.weak for n in self.weak_lengths)]
 
-    def clause(self, text: str, weak: bool = False) -> float:
-        got = [self.lookup(w, weak) for w in _WORD.findall(text)]
-        return sum(e * f for (_, e), f in zip(got, weigh([s for s, _ in got]), strict=True))
+    def symbols(self, low: str) -> list[tuple[str, float]]:
+        """Symbols and their evidence, of the clauses that hold a term; so many ends of clauses between them as a chain can tell apart."""
+        if not low or not len(self.automaton):
+            return []
+        hits = {end - n + 1 for end, n in self.automaton.iter(low)}
+        hits = sorted(i for i in hits if i == 0 or not low[i - 1].isalpha())
+        if not hits:
+            return []
+        bounds = [(m.start(), m.end()) for m in _CLAUSE.finditer(low)]
+        begins, ends = [0, *(b for _, b in bounds)], [*(a for a, _ in bounds), len(low)]
+        out: list[tuple[str, float]] = []
+        last = None
+        for i in sorted({bisect_left(ends, h) for h in hits}):
+            if last is not None:
+                out += [(BREAK, 0.0)] * min(i - last, self.gate.reach + 1)
+            out += map(self.lookup, _WORD.findall(low[begins[i] : ends[i]]))
+            last = i
+        return out
 
     def score(self, text: str | None) -> float:
-        low = (text or "").lower()
-        if not low or not len(self.automaton):
-            return 0.0
-        hits = {(end - n + 1, n) for end, n in self.automaton.iter(low)}
-        hits = sorted((i, n) for i, n in hits if i == 0 or not low[i - 1].isalpha())
-        faint = {i for i, n in hits if low[i : i + n] in self.weak}
-        ends, opened = self.opened(low, faint) if len(faint) >= self.gate.count else ([], ())
-        weak = lambda i: bool(ends) and bool(opened[bisect_left(ends, i)])
-        starts = sorted({i for i, n in hits if low[i : i + n] not in self.weak or weak(i)})
-        total, done = 0.0, 0
-        for i in starts:
-            if i < done:
-                continue
-            begin = 0
-            for k in range(i - 1, max(-1, i - 2000), -1):  # a clause is looked at from its beginning
-                if low[k] in ".;:!?\n":
-                    begin = k + 1
-                    break
-            else:
-                begin = max(0, i - 2000)
-            end = _CLAUSE.search(low, i)
-            stop = end.start() if end else len(low)
-            total += self.clause(low[max(begin, done) : stop], weak(i))
-            done = stop
-        return 1 - math.exp(-total)
+        read = self.symbols((text or "").lower())
+        factors = weigh([s for s, _ in read], self.gate.count, self.gate.reach)
+        return 1 - math.exp(-sum(e * f for (_, e), f in zip(read, factors, strict=True)))
 
 
 def _terms(text: str) -> set[str]:
@@ -326,15 +332,20 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[l
             yield pa.RecordBatch.from_arrays([pa.array([sorted(number[t] for t in _terms(x) if t in number) for x in batch.column(0).to_pylist()], pa.list_(pa.int32()))], ["at"])
 
     left = [set(r["at"]) for r in toxic.select("text").mapInArrow(hold, "at array<int>").collect()]  # at most rows
+    holders: dict[int, set[int]] = {}
+    for k, x in enumerate(left):
+        for i in x:
+            holders.setdefault(i, set()).add(k)
     # Weak beginnings come first where they are far more frequent: what they explain needs no rare words of its own.
     learned, late = [], []
     for i, t in enumerate(order):
-        own = [x for x in left if i in x]
-        if len(own) >= NEW:
-            n, m = exact[t]
-            (learned if n >= 4 * SUPPORT else late).append((i, t, n, m))
-            if n >= 4 * SUPPORT:
-                left = [x for x in left if i not in x]
+        n, m = exact[t]
+        if n < 4 * SUPPORT:
+            if sum(i in x for x in left) >= NEW:
+                late.append((i, t, n, m))
+        elif all(len(holders[i] & holders[j]) < BESIDE * len(holders[i]) for j, *_ in learned):
+            learned.append((i, t, n, m))
+            left = [x for x in left if i not in x]
     gate = _gate(texts, [(t, number[t]) for t in faint], left, other, sizes, [(t, n, m) for _, t, n, m in learned] + [(w, 1, 0) for w, *_ in seeds])
     explained = [x for x in left if not any(number[s + "*"] in x for s in gate.stems)]
     for i, t, n, m in late:
@@ -348,7 +359,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[l
 
 
 def _gate(texts: DataFrame, faint: list[tuple[str, int]], left: list[set[int]], other: dict[str, int], sizes: dict[int, int], strong: list[tuple[str, int, int]]) -> Gate:
-    """The weak beginnings that tell most about the toxic texts that are left, and the gate that divides the texts without strong terms best."""
+    """The weak beginnings that tell most about the toxic texts that are left, and the chain that divides the texts without strong terms best."""
     n1, n0 = max(1, len(left)), max(1, sizes.get(0, 0))
 
     def gain(n: int, m: int) -> float:
@@ -376,18 +387,20 @@ def _gate(texts: DataFrame, faint: list[tuple[str, int]], left: list[set[int]],
             rows = []
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 low = text.lower()
-                if scorer.weak_count(low) and not scorer.strong(low):
-                    rows.append((y, [min(k, max(COUNTS)) for k in scorer.weak_runs(low, DENSITIES)]))
+                places = scorer.weak_places(low)
+                if places and not scorer.strong(low):
+                    rows.append((y, [min(longest_chain(places, r), max(COUNTS)) for r in REACHES]))
             yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in rows], pa.int32()), pa.array([k for _, k in rows], pa.list_(pa.int32()))], ["y", "k"])
 
     cells = texts.select("text", "toxic").mapInArrow(measure, "y int, k array<int>").groupBy("y", "k").count().collect()
     best, gate = 0.0, Gate()
     for c in COUNTS:
-        for i, d in enumerate(DENSITIES):
+        for i, reach in enumerate(REACHES):
             n, m = (sum(r["count"] for r in cells if r["y"] == y and r["k"][i] >= c) for y in (1, 0))
-            f1 = 2 * n / max(1, n1 + n + m)
-            if n >= WEAK_SUPPORT and f1 > best and n > m:
-                best, gate = f1, Gate(tuple(stems), c, d, (n + 1) / (n + m + 2))
+            # F2: recall weighs twice as much as precision.
+            f2 = 5 * n / max(1, 4 * n1 + n + m)
+            if n >= WEAK_SUPPORT and f2 > best and n > m:
+                best, gate = f2, Gate(tuple(stems), c, reach, (n + 1) / (n + m + 2))
     return gate
 
 

@@ -62,9 +62,10 @@ def test_grammar_contexts():
 
 
 def test_composition():
-    a, b = toxicity._near("N", 2, {"I": 0.5}, {}), toxicity._near("R", 1, {"I": 0.2}, {})
+    a, b = toxicity._near("N", 2, {"I": 0.5}), toxicity._near("R", 1, {"I": 0.2})
     assert a.then(b).factors("NRI") == [1.0, 1.0, 0.1]
     assert a.then(b).factors("NOOI") == [1.0, 1.0, 1.0, 1.0]
+    assert a.then(b).factors("N.I") == [1.0, 1.0, 1.0]
 
 
 def test_quality(labelled, empty, spark):
@@ -271,12 +272,12 @@ def test_nearest_among_many_copies(spark):
 
 
 def test_weak_beginnings_count_only_together():
-    gate = toxicity.Gate(("réeux",), 2, 0.01, 0.9)
-    s = toxicity.Scorer([("idiot", False, "I", 0.9)], gate)
+    s = toxicity.Scorer([("idiot", False, "I", 0.9)], toxicity.Gate(("réeux",), 2, 2, 0.9))
     assert s.score("le mot réeuxan seul") == 0
     two = s.score("un réeuxan, des mots. Un réeuxou")
     assert two == pytest.approx(0.9)
-    assert s.score("réeuxan réeuxou " + "mot " * 500) == 0  # few for the length
+    assert s.score("réeuxan. Un mot. Un réeuxou") == pytest.approx(0.9)
+    assert s.score("réeuxan. Un mot. Un mot. Un réeuxou") == 0
     assert s.score("trois réeuxan. Les réeuxou. Un réeuxte") > two
     assert s.score("Un réeuxan. pas réeuxou") < two
 
