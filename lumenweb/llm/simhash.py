@@ -4,14 +4,17 @@ Fingerprints: A-Z lower-cased, words ``[^\\x20\\x09-\\x0D]+``, each shingle's XX
 set in over half the hashes, repeats included. Fewer words than a shingle: the whole sequence; none: zero.
 
 Links: distinct fingerprints only. Two that differ in at most r bits agree in at least b - r of b blocks, so each one is
-dealt under every choice of b - r blocks, which makes shards of fingerprints that could be near. A shard holds a BK-tree
-(see bktree) that is searched along the edges within the radius; small shards are one leaf of it, searched for a whole
-partition at once. A tree and the fingerprints that search it meet by the shuffle, not by a broadcast, since all trees
-together grow with the corpus; an oversized shard is cut in slices, and every pair of slices meets in a task of its own.
-What leaves a shard is a spanning forest of its links, never all pairs. Components: large-star, small-star.
+dealt under every choice of b - r blocks (as many bits of it as make shards of ``MEAN`` fingerprints). Every shard, however
+small, is a BK-tree (see bktree) that all its fingerprints search along the edges within the radius; nothing else compares
+fingerprints. Links that a fingerprint meets on its way into the tree come first, and a search doesn't enter a subtree all
+of which is in its own component already, so a large group of near copies costs no pairs. What leaves a shard is a star
+for each component. An oversized shard is cut in slices, and each pair of slices meets in a task of its own. A tree and
+the fingerprints that search it meet by the shuffle, not by a broadcast: all trees together are the fingerprints of all
+documents, which never go to the driver. Components: large-star, small-star.
 
 Edge cases: a null text has no words; null doc_ids never are a component's smallest (a component of only nulls has a
-null id); repeated rows get a row each (``keep_one`` keeps one of them); an empty table gives an empty result; other
+null id); repeated rows get a row each (``keep_one`` keeps one of them, of rows equal in id and text that with the smallest
+hash of all columns); an empty table gives an empty result; other
 columns are carried by ``keep_one``. Working columns start with ``_sh_``.
 """
 
@@ -26,10 +29,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenweb.llm.bktree import LEAF, BKTree
+from lumenweb.llm.bktree import Forest, merge
 from lumenweb.llm.common import MAX_LONG, materialize, shuffle_partitions
 from lumenweb.llm.components import connected_components
 
+#: Fingerprints of a shard, if they are unrelated; and how many it may be before more blocks are worth their copies.
+MEAN, MOST = 64, 512
+#: Fingerprints that search together before the components are taken anew, at first and at most.
+FIRST, ROUND = 1024, 65_536
+#: Share of the components that trees in another order must have joined to be worth growing again.
+STILL = 0.05
 #: A shard of more fingerprints is cut in slices of this many.
 SLICE = 50_000
 #: Rows that a table may have to be broadcast.
@@ -67,80 +76,64 @@ def fingerprints(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     return asked.mapInArrow(run, "id long, fp long" + ", hash long" * len(carry))
 
 
-def _blocks(n: int, radius: int) -> list[np.ndarray]:
-    """Masks, one for each choice of blocks; more and longer keys for more fingerprints, so that a shard of unrelated ones stays small."""
-    b = radius + 2 if n < 3e7 else radius + 3 if n < 2e9 else radius + 4
-    edges = [64 * i // b for i in range(b + 1)]
-    parts = [sum(1 << k for k in range(edges[i], edges[i + 1])) for i in range(b)]
-    return [np.uint64(sum(c)) for c in combinations(parts, b - radius)]
-
-
-class _Forest:
-    """Union-find over the members of one shard."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, i: int) -> int:
-        up = self.up
-        while up[i] != i:
-            up[i] = up[up[i]]
-            i = up[i]
-        return i
-
-    def join(self, i: int, j: int) -> bool:
-        a, b = self.root(i), self.root(j)
-        if a != b:
-            self.up[max(a, b)] = min(a, b)
-        return a != b
-
-
-def _tree_links(own: np.ndarray, other: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links within own, or between own and other."""
-    items, wanted = (own, own) if other is None else (own, other)
-    shift = 0 if other is None else len(own)
-    forest, a, b = _Forest(len(own) + (len(other) if other is not None else 0)), [], []
-    for i, j in BKTree(items).search(wanted, radius):
-        i = i + shift
-        far = np.flatnonzero(i != j)
-        for x, y in zip(i[far].tolist(), j[far].tolist(), strict=True):
-            if forest.join(x, y):
-                a.append(x)
-                b.append(y)
-    every = own if other is None else np.concatenate((own, other))
-    return every[np.array(a, np.int64)], every[np.array(b, np.int64)]
-
-
-def _shard_links(key: np.ndarray, fp: np.ndarray, side: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """key: each row's shard; side 0: rows linked among themselves and with side 1 rows; side 1 rows aren't linked among themselves again."""
-    order = np.lexsort((fp, side, key))
-    key, fp, side = key[order], fp[order], side[order]
-    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    sizes = np.diff(np.concatenate((starts, [len(key)])))
-    small = np.repeat(sizes <= LEAF, sizes) & np.repeat(sizes > 1, sizes)
-    k, f = key[small], fp[small]
-    for lag in range(1, LEAF):
-        if len(k) <= lag:
+def _masks(n: int, radius: int) -> list[np.uint64]:
+    """One for each choice of blocks. Fewest blocks whose shards of n unrelated fingerprints stay under MOST, and no more bits than make them MEAN."""
+    wanted = max(0, (n // MEAN).bit_length())
+    for b in range(radius + 1, radius + 5):
+        if n >> (64 * (b - radius) // b) <= MOST:
             break
-        near = (k[lag:] == k[:-lag]) & (np.bitwise_count(f[lag:] ^ f[:-lag]) <= radius)
-        yield f[lag:][near], f[:-lag][near]
-        if lag % 4 == 0:
-            live = np.concatenate((k[lag:] == k[:-lag], np.zeros(lag, bool)))
-            if not live.any():
-                break
-    for at, n in zip(starts[sizes > LEAF].tolist(), sizes[sizes > LEAF].tolist(), strict=True):
-        cut = at + int(np.searchsorted(side[at : at + n], 1))
-        if cut == at + n:
-            yield _tree_links(fp[at : at + n], None, radius)
-        else:
-            yield _tree_links(fp[at:cut], fp[cut : at + n], radius)
+    edges = [64 * i // b for i in range(b + 1)]
+    out = set()
+    for choice in combinations(range(b), b - radius):
+        bits = [k for i in choice for k in range(edges[i], edges[i + 1])]
+        out.add(sum(1 << k for k in bits[:wanted]))
+    return [np.uint64(m) for m in sorted(out)]
+
+
+def _met(forest: Forest, items: np.ndarray, tree: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Labels after the links that items meet on their way into their trees, and into trees grown in other orders for as long as that joins many."""
+    labels = merge(labels, *forest.met)
+    rng, n = np.random.default_rng(1), len(items)
+    left, before = np.count_nonzero(labels[:n] == np.arange(n)), n
+    while left < (1 - STILL) * before:
+        order = rng.permutation(n)
+        a, b = Forest(items[order], tree[order], forest.radius).met
+        labels = merge(labels, order[a], order[b])
+        left, before = np.count_nonzero(labels[:n] == np.arange(n)), left
+    return labels
+
+
+def shard_links(key: np.ndarray, fp: np.ndarray, side: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """key: each row's shard. Side 0 rows make its tree; side 1 rows search it, or those of side 0 if it has no others (where there are two slices, each one's own links are another task's). Returns a star of each component of more than one."""
+    place = np.argsort(side, kind="stable")
+    f, k, n = fp[place], key[place], np.count_nonzero(side == 0)
+    forest = Forest(f[:n], k[:n], radius)
+    labels = _met(forest, f[:n], k[:n], np.arange(len(f)))
+    asking = np.concatenate((np.flatnonzero(~np.isin(k[:n], k[n:])), np.arange(n, len(f))))
+    # Those of small components first: what they join makes whole subtrees for the others.
+    size = np.bincount(labels, minlength=len(f))[labels]
+    asking = asking[np.argsort(size[asking], kind="stable")]
+    at, step = 0, FIRST
+    while at < len(asking):
+        some = asking[at : at + step]
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for i, j in forest.search(f[some], k[some], labels[some], forest.whole(labels[:n])):
+            apart = labels[some[i]] != labels[j]
+            x, y = some[i[apart]], j[apart]
+            if len(x):  # one link of each two components
+                _, first = np.unique(labels[x] * len(f) + labels[y], return_index=True)
+                found.append((x[first], y[first]))
+        labels = merge(labels, *(np.concatenate(x) for x in zip(*found, strict=True)))
+        at, step = at + step, min(2 * step, ROUND)
+    tied = np.flatnonzero(labels != np.arange(len(f)))
+    return f[tied], f[labels[tied]]
 
 
 def links(fps: DataFrame, radius: int = 4) -> DataFrame:
     """fps: distinct (fp long). Returns (u, v), v < u: links that join the same components as all links would."""
     spark = fps.sparkSession
     n = fps.count()
-    masks = _blocks(n, radius)
+    masks = _masks(n, radius)
     parts = max(shuffle_partitions(spark), len(masks) * n // 1_000_000 + 1)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,10 +164,8 @@ def links(fps: DataFrame, radius: int = 4) -> DataFrame:
         all_ = pa.Table.from_batches(kept)
         m, key, fp, a, b, side = (c.to_numpy() for c in all_.columns)
         mixed = key.view(np.uint64) ^ (m.astype(np.uint64) * np.uint64(0x94D049BB133111EB)) ^ ((a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93))
-        for x, y in _shard_links(mixed, fp.view(np.uint64), side, radius):
-            if len(x):
-                x, y = x.view(np.int64), y.view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], ["u", "v"])
+        x, y = (z.view(np.int64) for z in shard_links(mixed, fp.view(np.uint64), side, radius))
+        yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], ["u", "v"])
 
     return dealt.repartition(parts, "key", "m", "a", "b").mapInArrow(run, "u long, v long")
 
@@ -210,5 +201,7 @@ def keep_one(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", widt
     gone = materialize(rooted.where((F.col("id") != F.col("k.id")) | (F.col("hash") != F.col("k.hash"))).select(F.col("id").alias("_sh_id"), F.col("hash").alias("_sh_hash")).distinct(), "near-gone")
     kept = named.join(gone, ["_sh_id", "_sh_hash"], "left_anti")
     if fps.groupBy("id", "hash").count().where("count > 1").limit(1).count():  # repeated rows
-        kept = kept.dropDuplicates(["_sh_id", "_sh_hash"])
+        kept = kept.withColumn("_sh_all", F.xxhash64(*[F.to_json(F.struct(*df.columns))]))
+        least = kept.groupBy("_sh_id", "_sh_hash").agg(F.min("_sh_all").alias("_sh_all"))
+        kept = kept.join(least, ["_sh_id", "_sh_hash", "_sh_all"], "left_semi").dropDuplicates(["_sh_id", "_sh_hash", "_sh_all"])
     return kept.select(*df.columns)

@@ -11,7 +11,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 from lumenweb.llm import bpe, packing, sharding, simhash
-from lumenweb.llm.bktree import BKTree
+from lumenweb.llm.bktree import Forest, merge
 from lumenweb.llm.components import connected_components
 
 
@@ -96,12 +96,85 @@ def test_links_of_clustered_fingerprints(spark, monkeypatch):
         assert len(pairs) == len(set(got)) == len(set(want))
 
 
-def test_bk_tree():
+def plain_tree(items):
+    """A BK-tree as dicts: (item's place, {edge: node})."""
+    root = (0, {})
+    for i in range(1, len(items)):
+        at = root
+        while True:
+            d = (items[at[0]] ^ items[i]).bit_count()
+            if d == 0:
+                break
+            if d not in at[1]:
+                at[1][d] = (i, {})
+                break
+            at = at[1][d]
+    return root
+
+
+def test_bk_trees_are_searched_along_edges_within_the_radius():
     rng = np.random.default_rng(0)
-    a = np.concatenate((rng.integers(0, 2**63, 500).astype(np.uint64), rng.integers(0, 4096, 500).astype(np.uint64), np.zeros(100, np.uint64)))
-    got = {(i, j) for x, y in BKTree(a).search(a, 4) for i, j in zip(x.tolist(), y.tolist())}
-    near = np.bitwise_count(a[:, None] ^ a[None, :]) <= 4
+    a = np.unique(np.concatenate((rng.integers(0, 2**63, 500).astype(np.uint64), rng.integers(0, 4096, 500).astype(np.uint64))))
+    a = rng.permutation(a)
+    tree = rng.integers(0, 7, len(a)) * 3
+    forest = Forest(a, tree, 4)
+    got = {(int(i), int(j)) for x, y in forest.search(a, tree) for i, j in zip(x, y)}
+    near = (np.bitwise_count(a[:, None] ^ a[None, :]) <= 4) & (tree[:, None] == tree[None, :])
     assert got == set(zip(*(x.tolist() for x in np.nonzero(near))))
+    visits = 0
+    for t in set(tree.tolist()):
+        items = [int(x) for x in a[tree == t]]
+        root = plain_tree(items)
+        for q in items:
+            stack = [root]
+            while stack:
+                i, edges = stack.pop()
+                visits += 1
+                d = (items[i] ^ q).bit_count()
+                stack += [c for e, c in edges.items() if abs(e - d) <= 4]
+    assert forest.visited == visits < sum((tree == t).sum() ** 2 for t in set(tree.tolist()))
+    assert list(forest.search(a[:3], np.array([1, 2, 4]))) == []
+
+
+def test_twins_and_whole_subtrees():
+    a = np.array([5, 5, 5, 7, 2**60, 2**60], np.uint64)
+    forest = Forest(a, np.zeros(6, np.int64), 4)
+    labels = merge(np.arange(6), *forest.met)
+    assert labels.tolist() == [0, 0, 0, 0, 0, 0] or labels.tolist() == [0, 0, 0, 0, 4, 4]
+    rng = random.Random(2)
+    for _ in range(200):
+        n = rng.randint(1, 12)
+        pairs = [(rng.randrange(n), rng.randrange(n)) for _ in range(rng.randint(0, 12))]
+        want = list(range(n))
+        for _ in range(n):
+            for x, y in pairs:
+                want[x] = want[y] = min(want[x], want[y])
+        assert merge(np.arange(n), np.array([x for x, _ in pairs], np.int64), np.array([y for _, y in pairs], np.int64)).tolist() == want
+
+
+def test_every_shard_is_a_tree_and_near_copies_cost_no_pairs(monkeypatch):
+    made = []
+    monkeypatch.setattr(simhash, "Forest", lambda *x: made.append(Forest(*x)) or made[-1])
+    rng = np.random.default_rng(4)
+    few = rng.integers(0, 2**63, 400).astype(np.uint64)
+    key = few % np.uint64(150)
+    simhash.shard_links(key, few, np.zeros(400, np.int32), 4)
+    assert len(made[0].trees) == len(set(key.tolist())) and made[0].visited >= 400 - len(made[0].trees)
+    centre = np.uint64(rng.integers(0, 2**63))
+    copies = np.unique(np.array([centre ^ sum(np.uint64(1) << np.uint64(b) for b in rng.choice(64, rng.integers(0, 4), replace=False)) for _ in range(6000)], np.uint64))
+    u, v = simhash.shard_links(np.zeros(len(copies), np.uint64), copies, np.zeros(len(copies), np.int32), 4)
+    assert len(u) == len(copies) - 1 and len(set(v.tolist())) == 1
+    assert made[1].visited < 0.05 * len(copies) ** 2
+
+
+def test_keys_bring_all_near_ones_together():
+    rng = random.Random(6)
+    for n in (0, 1, 100, 9000, 250_000, 10**7, 10**9, 10**11):
+        masks = [int(m) for m in simhash._masks(n, 4)]
+        for _ in range(300):
+            a = rng.getrandbits(64)
+            b = a ^ sum(1 << k for k in rng.sample(range(64), rng.randint(0, 4)))
+            assert any(a & m == b & m for m in masks)
 
 
 def test_packing(docs, rows, empty):
