@@ -4,21 +4,23 @@
 run (LMS) begins a substring. Induction sorts these substrings, they get names, and the string of names is sorted in
 turn; then the order of LMS suffixes induces that of all. Induction goes bucket by bucket: what a bucket receives from
 others is in place before it is read, so all that it passes on is one numpy step, and only runs of one symbol take a
-step each. A string of names has about as many buckets as symbols, so it is sorted by doubling the ranks' reach.
+step each. A string of names has about as many symbols as places; where these are over ``BUCKETS``, each name is spelt
+in two digits, which leaves the order of suffixes as it is, and that string, shorter than the one before since a name
+covers two symbols at least, is sorted by the same induction. So every level is induced.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Up to so many symbols a string is sorted by induction.
+#: Names from which on they are spelt in digits.
 BUCKETS = 1024
 
 
 def _types(t: np.ndarray) -> np.ndarray:
     """True for S. The last symbol is a sentinel below all others."""
     n = len(t)
-    step = np.sign(t[1:].astype(np.int64) - t[:-1])
+    step = np.sign(t[1:].astype(np.int32) - t[:-1])
     at = np.where(step != 0, np.arange(n - 1), n)
     at = np.minimum.accumulate(at[::-1])[::-1]
     s = np.ones(n, bool)
@@ -26,24 +28,27 @@ def _types(t: np.ndarray) -> np.ndarray:
     return s
 
 
-def _push(sa: np.ndarray, t: np.ndarray, at: np.ndarray, ptr: np.ndarray, way: int) -> None:
-    """Put suffixes into the buckets of their first symbols, in order, from ptr on in direction way."""
+def _push(sa: np.ndarray, t: np.ndarray, at: np.ndarray, ptr: np.ndarray, way: int, count: np.ndarray) -> None:
+    """Put suffixes into the buckets of their first symbols, in order, from ptr on in direction way. count: 0, 1, ..."""
     if not len(at):
         return
     c = t[at]
-    order = np.argsort(c, kind="stable")
-    c, at = c[order], at[order]
-    first = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1])))
-    size = np.diff(np.concatenate((first, [len(c)])))
-    rank = np.arange(len(c)) - np.repeat(first, size)
-    sa[ptr[c] + way * rank] = at
-    ptr[c[first]] += way * size
+    order = np.argsort(c, kind="stable")  # of 16-bit symbols: a radix sort
+    c = c[order]
+    size = np.bincount(c, minlength=len(ptr))
+    before = np.cumsum(size) - size
+    if way > 0:
+        sa[(ptr - before)[c] + count[: len(c)]] = at[order]
+        ptr += size
+    else:
+        sa[(ptr + before)[c] - count[: len(c)]] = at[order]
+        ptr -= size
 
 
 def _induce(t: np.ndarray, s: np.ndarray, lms: np.ndarray, sigma: int) -> np.ndarray:
     """The suffix array that an order of the LMS suffixes induces."""
     n = len(t)
-    sa = np.zeros(n, np.int64)
+    sa, count = np.zeros(n, np.int64), np.arange(n)
     size = np.bincount(t, minlength=sigma)
     larger = np.bincount(t[~s], minlength=sigma)
     start = np.cumsum(size) - size
@@ -64,7 +69,7 @@ def _induce(t: np.ndarray, s: np.ndarray, lms: np.ndarray, sigma: int) -> np.nda
         head[c] = end
         src = np.concatenate((sa[start[c] : end], by[cut[c] : cut[c + 1]])) - 1
         src = src[src >= 0]
-        _push(sa, t, src[t[src] > c], head, 1)
+        _push(sa, t, src[t[src] > c], head, 1, count)
     tail = stop - 1
     for c in used[::-1]:
         at, end = stop[c] - 1, tail[c]
@@ -78,34 +83,26 @@ def _induce(t: np.ndarray, s: np.ndarray, lms: np.ndarray, sigma: int) -> np.nda
         tail[c] = end
         src = np.concatenate((sa[end + 1 : stop[c]][::-1], sa[start[c] : start[c] + larger[c]][::-1])) - 1
         src = src[src >= 0]
-        _push(sa, t, src[t[src] < c], tail, -1)
+        _push(sa, t, src[t[src] < c], tail, -1, count)
     sa[0] = n - 1  # the sentinel
     return sa
 
 
-def _double(r: np.ndarray) -> np.ndarray:
-    """The suffix array of any string of numbers, by sorting pairs of ranks of doubled reach."""
-    n, reach = len(r), 1
-    rank = np.unique(r, return_inverse=True)[1].astype(np.int64) + 1
-    while True:
-        then = np.zeros(n, np.int64)
-        then[:-reach] = rank[reach:]
-        key = rank * (n + 1) + then
-        order = np.argsort(key, kind="stable")
-        new = np.concatenate(([0], np.cumsum(key[order][1:] != key[order][:-1])))
-        rank[order] = new + 1
-        reach *= 2
-        if new[-1] == n - 1 or reach >= n:
-            return order
+def _spell(names: np.ndarray, count: int) -> tuple[np.ndarray, int, int]:
+    """names under count, the last one 0 and below all others, in two digits each, from 1 on, and one 0 at the end. Returns (string, its number of symbols, digits of a name)."""
+    if count <= BUCKETS:
+        return names, count, 1
+    base = int(np.ceil(np.sqrt(count)))
+    out = np.zeros(2 * len(names) - 1, np.int64)
+    out[:-1:2], out[1::2] = names[:-1] // base + 1, names[:-1] % base + 1
+    return out, base + 1, 2
 
 
 def suffix_array(t: np.ndarray, sigma: int) -> np.ndarray:
-    """t: int64 symbols under sigma, the last one 0 and below all others."""
-    n = len(t)
+    """t: symbols under sigma (at most 65,536), the last one 0 and below all others."""
+    n, t = len(t), t.astype(np.uint16)
     if n < 2:
         return np.zeros(n, np.int64)
-    if sigma > BUCKETS:
-        return _double(t)
     s = _types(t)
     lms = np.flatnonzero(s[1:] & ~s[:-1]) + 1
     sa = _induce(t, s, lms, sigma)
@@ -128,7 +125,9 @@ def suffix_array(t: np.ndarray, sigma: int) -> np.ndarray:
     if names[-1] < len(lms) - 1:
         name = np.zeros(n, np.int64)
         name[ranked] = names
-        ranked = lms[suffix_array(name[lms], int(names[-1]) + 1)]
+        spelt, symbols, digits = _spell(name[lms], int(names[-1]) + 1)
+        order = suffix_array(spelt, symbols)
+        ranked = lms[order[order % digits == 0] // digits]
     return _induce(t, s, ranked, sigma)
 
 

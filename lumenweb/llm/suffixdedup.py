@@ -443,6 +443,21 @@ def _sort_shard(owners: np.ndarray, length: int):
         extra, first = np.array([r[2] for r in rows], np.int64), np.array([r[3] for r in rows], np.int64)
         return doc[part], extra[part], first[part] + window
 
+    def leave(found: list[tuple], removed: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if removed:
+            found = [*found, tuple(np.array(removed, np.int64).T)]
+        if not found:
+            return
+        doc, extra, first = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((first, extra, doc))
+        doc, extra, first = doc[order], extra[order], first[order]
+        new = np.ones(len(doc), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (extra[1:] != extra[:-1]) | (first[1:] > first[:-1] + 1)
+        begin = np.flatnonzero(new)
+        last = np.append(begin[1:], len(doc)) - 1
+        if len(begin):
+            yield from _packed(_packs(0, owners, doc[begin], extra[begin], first[begin], first[last] - first[begin] + 1))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         found: list[tuple] = []
@@ -458,21 +473,12 @@ def _sort_shard(owners: np.ndarray, length: int):
                     rows, size = [], 0
                 rows.append(r)
                 size += len(r[4])
+            if len(removed) + sum(len(x[0]) for x in found) >= ENTRIES:
+                yield from leave(found, removed)
+                found, removed = [], []
         if rows:
             found.append(block(rows))
-        if removed:
-            found.append(tuple(np.array(removed, np.int64).T))
-        if not found:
-            return
-        doc, extra, first = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.lexsort((first, extra, doc))
-        doc, extra, first = doc[order], extra[order], first[order]
-        new = np.ones(len(doc), bool)
-        new[1:] = (doc[1:] != doc[:-1]) | (extra[1:] != extra[:-1]) | (first[1:] > first[:-1] + 1)
-        begin = np.flatnonzero(new)
-        last = np.append(begin[1:], len(doc)) - 1
-        if len(begin):
-            yield from _packed(_packs(0, owners, doc[begin], extra[begin], first[begin], first[last] - first[begin] + 1))
+        yield from leave(found, removed)
 
     return run
 
