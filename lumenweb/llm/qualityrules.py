@@ -3,13 +3,16 @@
 Base: words are ``[^\\x20\\x09-\\x0D]+``. A document fails if it has fewer than 50 words, or if more than half of them lie
 in 3-word windows that its text holds twice or more.
 
-Outliers: each document's statistics are transformed (logs and square roots) to five numbers. For each language and
-source the minimum covariance determinant is approached by concentration steps, each over all documents: from medians
-and quartiles on, the three quarters of the group nearest by Mahalanobis distance give the next mean and covariance.
-Covariances get a floor, since most clean documents have the same value in three of the five. The distances are scaled
-so that their median is the chi-square one, and documents beyond ``CUTOFF`` are rejected. Groups under ``MIN_GROUP``
-documents are pooled by language; what is left in pools that small is judged by the estimate over all documents that pass
-the base rules. Only where all of these are fewer than ``MIN_GROUP`` is nothing rejected.
+Outliers: three statistics that vary in any prose are transformed: log of the mean word length, angle (arc sine of the
+root) of the share of words that end in no letter, and log of the distinct words over log of the words. For each language
+and source the minimum covariance determinant is approached by concentration steps, each over all documents: the three
+quarters of the group nearest by Mahalanobis distance give the next mean and covariance, so that determinants only fall.
+Steps go on from two starts (medians and quartiles; mean and covariance of all) until no group's determinant falls by more
+than ``SETTLED``, and a group's estimate is that of the start with the smaller one. A standard deviation, given the
+statistics before it, is ``LEAST`` over the root of the median number of words at least: what counting so few words
+leaves. That is no part of the estimate unless a group's statistics hardly vary. Documents beyond ``CUTOFF`` are rejected.
+Groups under ``MIN_GROUP`` documents are pooled by language; what is left in pools that small is judged by the estimate
+over all documents that pass the base rules. Only where all of these are fewer than ``MIN_GROUP`` is nothing rejected.
 
 Each step is a partial aggregation of a narrow table, so a group of any size is no hot task.
 
@@ -25,12 +28,13 @@ from pyspark.sql import functions as F
 
 from lumenweb.llm.common import materialize
 
-#: chi-square with 5 degrees of freedom: its median, and its 0.99999 quantile.
-MEDIAN, CUTOFF = 4.351, 30.86
-SHARE, STEPS, MIN_GROUP = 0.75, 3, 100
-#: The standard deviations that a covariance has at least.
-FLOORS = (0.8, 0.07, 0.04, 0.15, 0.13)
-D = len(FLOORS)
+#: chi-square with 3 degrees of freedom: its median, the quantile that one of 10^8 is beyond, and what makes the covariance of the nearest SHARE that of all.
+MEDIAN, CUTOFF, CONSISTENT = 2.366, 40.13, 1.611
+#: Share of a group that a step keeps; fall of a log determinant that counts as none; steps at most.
+SHARE, SETTLED, STEPS, MIN_GROUP = 0.75, 1e-3, 20, 100
+#: Standard deviations that a group has at least, times the root of its median number of words.
+LEAST = (0.25, 0.5, 0.1)
+D = len(LEAST)
 BROADCAST_ROWS = 100_000
 #: The key of the estimate over all documents.
 ALL = "a"
@@ -66,15 +70,17 @@ def with_statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^ \t\n\x0B\f\r]"))
     symbols = F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", ""))
+    ends = F.regexp_count(text, F.lit(r"[^\p{L}\p{M} \t\n\x0B\f\r](?=[ \t\n\x0B\f\r]|\z)"))
     step = df.withColumns({"_q_w": F.array_remove(F.split(text, SPACE), ""), "_q_l": lines})
-    out = {"n_words": F.size("_q_w"), "word_chars": F.length(F.array_join("_q_w", "")), "n_symbols": symbols, "n_dup_lines": F.size("_q_l") - F.size(F.array_distinct("_q_l")), "n_repeat_words": _repeat_words(F.col("_q_w"))}
+    out = {"n_words": F.size("_q_w"), "word_chars": F.length(F.array_join("_q_w", "")), "n_symbols": symbols, "n_dup_lines": F.size("_q_l") - F.size(F.array_distinct("_q_l")), "n_repeat_words": _repeat_words(F.col("_q_w")), "_q_ends": ends, "_q_distinct": F.size(F.array_distinct("_q_w"))}
     step = step.withColumns({k: v.cast("long") for k, v in out.items()}).drop("_q_w", "_q_l")
     return step.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
 def _vector() -> dict[str, Column]:
-    n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
-    return {"_q_x0": F.log1p(F.col("n_words").cast("double")), "_q_x1": F.log(1 + F.col("word_chars") / n), "_q_x2": F.sqrt(F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1))), "_q_x3": F.sqrt(3 * F.col("n_dup_lines") / n), "_q_x4": F.sqrt(F.col("n_repeat_words") / n)}
+    """Of documents with two words at least."""
+    n = F.greatest(F.col("n_words"), F.lit(2)).cast("double")
+    return {"_q_x0": F.log(F.greatest(F.col("word_chars"), F.lit(1)) / n), "_q_x1": F.asin(F.sqrt(F.least(F.col("_q_ends") / n, F.lit(1.0)))), "_q_x2": F.log(F.greatest(F.col("_q_distinct"), F.lit(1))) / F.log(n)}
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -99,14 +105,20 @@ def _with_distance(df: DataFrame) -> DataFrame:
 
 
 def _cholesky(df: DataFrame) -> DataFrame:
-    """Columns _q_cij of a covariance to _q_lij."""
+    """Columns _q_cij of a covariance to _q_lij of its factor, and _q_det, the log of its determinant."""
+    least = [F.lit(x) / F.sqrt(F.greatest(F.col("_q_n"), F.lit(1.0))) for x in LEAST]
     for i in range(D):
         for j in range(i + 1):
-            s = F.col(f"_q_c{i}{j}")
+            s = CONSISTENT * F.col(f"_q_c{i}{j}")
             for k in range(j):
                 s = s - F.col(f"_q_l{i}{k}") * F.col(f"_q_l{j}{k}")
-            df = df.withColumn(f"_q_l{i}{j}", F.sqrt(F.greatest(s, F.lit(FLOORS[i] ** 2 * 1e-3))) if i == j else s / F.col(f"_q_l{j}{j}"))
-    return df.drop(*[f"_q_c{i}{j}" for i in range(D) for j in range(i + 1)])
+            df = df.withColumn(f"_q_l{i}{j}", F.sqrt(F.greatest(s, least[i] ** 2)) if i == j else s / F.col(f"_q_l{j}{j}"))
+    det = sum((F.log(f"_q_l{i}{i}") for i in range(1, D)), F.log("_q_l00")) * 2
+    return df.withColumn("_q_det", det).drop(*[f"_q_c{i}{j}" for i in range(D) for j in range(i + 1)])
+
+
+def _moments(rows: DataFrame, *by: str) -> DataFrame:
+    return rows.groupBy(*by).agg(*[F.avg(f"_q_x{i}").alias(f"_q_m{i}") for i in range(D)], *[F.covar_pop(f"_q_x{i}", f"_q_x{j}").alias(f"_q_c{i}{j}") for i in range(D) for j in range(i + 1)])
 
 
 def _groups(rows: DataFrame) -> DataFrame:
@@ -120,28 +132,47 @@ def _groups(rows: DataFrame) -> DataFrame:
     return materialize(level.select("_q_lang", "_q_source", key.alias("_q_g")), "mcd-groups")
 
 
+_KEY = ("_q_g", "_q_start")
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """(group, start, _q_n, mean, factor, _q_det) of the two starts of each group."""
+    middle = [F.percentile_approx(f"_q_x{i}", [0.25, 0.5, 0.75]).alias(f"_q_p{i}") for i in range(D)]
+    quartiles = rows.groupBy("_q_g").agg(F.percentile_approx("_q_words", 0.5).cast("double").alias("_q_n"), *middle)
+    robust = quartiles.select("_q_g", "_q_n", *[F.col(f"_q_p{i}")[1].alias(f"_q_m{i}") for i in range(D)], *[((((F.col(f"_q_p{i}")[2] - F.col(f"_q_p{i}")[0]) / 1.349) ** 2) if i == j else F.lit(0.0)).alias(f"_q_c{i}{j}") for i in range(D) for j in range(i + 1)])
+    whole = _moments(rows, "_q_g").join(quartiles.select("_q_g", "_q_n"), "_q_g")
+    both = robust.withColumn("_q_start", F.lit(0)).unionByName(whole.withColumn("_q_start", F.lit(1)))
+    return _cholesky(both).withColumn("_q_det", F.lit(float("inf")))
+
+
+def _step(rows: DataFrame, now: DataFrame) -> DataFrame:
+    """A concentration step of every group and start."""
+    far = _with_distance(rows.join(_small(now), "_q_g")).select(*_KEY, "_q_d", *[f"_q_x{i}" for i in range(D)])
+    limit = materialize(far.groupBy(*_KEY).agg(F.percentile_approx("_q_d", SHARE).alias("_q_h")), "mcd-limit")
+    near = far.join(_small(limit), list(_KEY)).where("_q_d <= _q_h")
+    known = now.select(*_KEY, "_q_n", F.col("_q_det").alias("_q_before"))
+    return materialize(_cholesky(_moments(near, *_KEY).join(known, list(_KEY))), "mcd-step")
+
+
 def fit(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """stats: materialized, with _q_lang, _q_source and the base columns. Returns (groups, estimates by group)."""
-    rows = stats.where("not base_failed").withColumns(_vector())
+    """stats: materialized, with _q_lang, _q_source and the counts. Returns (groups, estimates by group)."""
+    rows = stats.where("not base_failed").withColumns(_vector()).withColumn("_q_words", F.col("n_words"))
     groups = _groups(rows)
     # The estimate over all is made of all rows, not only of those that it judges.
     keys = F.array(F.col("_q_g")) if groups.where(F.col("_q_g") == ALL).isEmpty() else F.array_distinct(F.array("_q_g", F.lit(ALL)))
-    rows = rows.join(_small(groups), ["_q_lang", "_q_source"]).where("_q_g is not null").select(F.explode(keys).alias("_q_g"), *[f"_q_x{i}" for i in range(D)])
+    rows = rows.join(_small(groups), ["_q_lang", "_q_source"]).where("_q_g is not null").select(F.explode(keys).alias("_q_g"), "_q_words", *[f"_q_x{i}" for i in range(D)])
     rows = materialize(rows, "mcd-rows")
-    middle = [F.percentile_approx(f"_q_x{i}", [0.25, 0.5, 0.75]).alias(f"_q_p{i}") for i in range(D)]
-    start = rows.groupBy("_q_g").agg(*middle)
-    scale = lambda i: F.greatest((F.col(f"_q_p{i}")[2] - F.col(f"_q_p{i}")[0]) / 1.349, F.lit(FLOORS[i]))
-    now = start.select("_q_g", *[F.col(f"_q_p{i}")[1].alias(f"_q_m{i}") for i in range(D)], *[(scale(i) if i == j else F.lit(0.0)).alias(f"_q_l{i}{j}") for i in range(D) for j in range(i + 1)])
+    now = materialize(_starts(rows), "mcd-step")
     for _ in range(STEPS):
-        now = materialize(now, "mcd-step")
-        far = _with_distance(rows.join(_small(now), "_q_g")).select("_q_g", "_q_d", *[f"_q_x{i}" for i in range(D)])
-        half = materialize(far.groupBy("_q_g").agg(F.percentile_approx("_q_d", SHARE).alias("_q_h")), "mcd-half")
-        near = far.join(_small(half), "_q_g").where("_q_d <= _q_h")
-        moments = near.groupBy("_q_g").agg(*[F.avg(f"_q_x{i}").alias(f"_q_m{i}") for i in range(D)], *[F.covar_pop(f"_q_x{i}", f"_q_x{j}").alias(f"_q_c{i}{j}") for i in range(D) for j in range(i + 1)])
-        now = _cholesky(moments.withColumns({f"_q_c{i}{i}": F.col(f"_q_c{i}{i}") + FLOORS[i] ** 2 for i in range(D)}))
-    now = materialize(now, "mcd-step")
+        now = _step(rows, now)
+        falls = now.agg(F.max(F.col("_q_before") - F.col("_q_det"))).first()[0]
+        now = now.drop("_q_before")
+        if falls is None or falls <= SETTLED:
+            break
+    best = now.groupBy("_q_g").agg(F.min(F.struct("_q_det", "_q_start")).alias("_q_best")).select("_q_g", F.col("_q_best._q_start").alias("_q_start"))
+    now = materialize(now.join(best, list(_KEY)).drop("_q_start"), "mcd-best")
     middle = _with_distance(rows.join(_small(now), "_q_g")).groupBy("_q_g").agg(F.percentile_approx("_q_d", 0.5).alias("_q_median"))
-    # The floor makes distances small rather than large, so they are never scaled up.
+    # Least deviations make distances small rather than large, so they are never scaled up.
     return groups, materialize(now.join(middle, "_q_g").withColumn("_q_scale", F.greatest(F.col("_q_median") / MEDIAN, F.lit(1.0))).drop("_q_median"), "mcd-fit")
 
 
@@ -152,7 +183,7 @@ def _keyed(df: DataFrame) -> DataFrame:
 
 def judge(df: DataFrame, *carry: str) -> DataFrame:
     """(carried columns, base columns, base_failed, kept)."""
-    stats = materialize(with_statistics(_keyed(df)).select(*carry, "_q_lang", "_q_source", *BASE, "base_failed"), "quality-stats")
+    stats = materialize(with_statistics(_keyed(df)).select(*carry, "_q_lang", "_q_source", *BASE, "_q_ends", "_q_distinct", "base_failed"), "quality-stats")
     groups, found = fit(stats)
     told = _with_distance(stats.withColumns(_vector()).join(_small(groups), ["_q_lang", "_q_source"], "left").join(_small(found), "_q_g", "left"))
     return told.select(*carry, *BASE, "base_failed", (~F.col("base_failed") & F.coalesce(F.col("_q_d") <= CUTOFF * F.col("_q_scale"), F.lit(True))).alias("kept"))

@@ -3,6 +3,8 @@
 import hashlib
 import math
 import random
+import re
+import unicodedata
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -52,8 +54,46 @@ def folder(spark, tmp_path_factory):
     return path
 
 
+def vector(text):
+    n, chars, *_ = brute_rules(text)
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    ends = sum(not (x[-1].isalpha() or unicodedata.category(x[-1])[0] == "M") for x in w)
+    m = max(n, 2)
+    return [math.log(max(chars, 1) / m), math.asin(math.sqrt(min(1, ends / m))), math.log(max(1, len(set(w)))) / math.log(m)]
+
+
+def brute_mcd(x, n):
+    """The minimum covariance determinant with numpy. Returns each row's squared distance, and (log determinant, rounds) of each start."""
+    at = lambda v, p: np.sort(v, axis=0)[max(0, math.ceil(p * len(v)) - 1)]
+    least = np.array(qualityrules.LEAST) / math.sqrt(max(1, at(n, 0.5)))
+
+    def factor(c):
+        low = np.zeros_like(c)
+        for i in range(len(c)):
+            for j in range(i + 1):
+                v = qualityrules.CONSISTENT * c[i, j] - low[i, :j] @ low[j, :j]
+                low[i, j] = math.sqrt(max(v, least[i] ** 2)) if i == j else v / low[j, j]
+        return low
+
+    found = []
+    for mean, c in ((at(x, 0.5), np.diag(((at(x, 0.75) - at(x, 0.25)) / 1.349) ** 2)), (x.mean(0), np.cov(x.T, bias=True))):
+        low, before, rounds = factor(c), math.inf, 0
+        while True:
+            d = (np.linalg.solve(low, (x - mean).T) ** 2).sum(0)
+            near = x[d <= at(d, qualityrules.SHARE)]
+            mean, low = near.mean(0), factor(np.cov(near.T, bias=True))
+            now, rounds = 2 * np.log(np.diag(low)).sum(), rounds + 1
+            if before - now <= qualityrules.SETTLED / 100 or rounds == 40:
+                break
+            before = now
+        found.append((now, rounds, mean, low))
+    _, _, mean, low = min(found, key=lambda f: f[0])
+    d = (np.linalg.solve(low, (x - mean).T) ** 2).sum(0)
+    return d / max(at(d, 0.5) / qualityrules.MEDIAN, 1.0), [f[:2] for f in found]
+
+
 def brute_quality(rows):
-    """Minimum covariance determinants with numpy, each group by itself."""
+    """Base rules and a minimum covariance determinant of each group by itself."""
     told = [brute_rules(t) for _, t, *_ in rows]
     groups = defaultdict(list)
     for i, (r, (_, _, g, s, _)) in enumerate(zip(told, rows)):
@@ -64,28 +104,15 @@ def brute_quality(rows):
     for i in rest:
         by_lang[rows[i][2]].append(i)
     pools = [v for v in groups.values() if len(v) >= qualityrules.MIN_GROUP] + [v for v in by_lang.values() if len(v) >= qualityrules.MIN_GROUP]
+    judged = [(v, v) for v in pools]
     last = [i for v in by_lang.values() if len(v) < qualityrules.MIN_GROUP for i in v]
-    if len(last) >= qualityrules.MIN_GROUP:
-        pools.append(last)
-    floors, bad = np.array(qualityrules.FLOORS), {i for i, r in enumerate(told) if r[5]}
-    at = lambda x, p: np.sort(x, axis=0)[max(0, math.ceil(p * len(x)) - 1)]
-    for own in pools:
-        x = []
-        for i in own:
-            n, chars, symbols, lines, repeats, _ = told[i]
-            m = max(n, 1)
-            x.append([math.log1p(n), math.log(1 + chars / m), math.sqrt(symbols / max(chars, 1)), math.sqrt(3 * lines / m), math.sqrt(repeats / m)])
-        x = np.array(x)
-        mean, low = at(x, 0.5), np.diag(np.maximum((at(x, 0.75) - at(x, 0.25)) / 1.349, floors))
-        far = lambda: (np.linalg.solve(low, (x - mean).T) ** 2).sum(0)  # noqa: E731, B023
-        for _ in range(qualityrules.STEPS):
-            d = far()
-            near = x[d <= at(d, qualityrules.SHARE)]
-            mean = near.mean(0)
-            low = np.linalg.cholesky(np.cov(near.T, bias=True) + np.diag(floors**2))
-        d = far()
-        scale = max(at(d, 0.5) / qualityrules.MEDIAN, 1.0)
-        bad |= {i for i, v in zip(own, d) if v > qualityrules.CUTOFF * scale}
+    every = [i for v in groups.values() for i in v]
+    if last and len(every) >= qualityrules.MIN_GROUP:
+        judged.append((every, last))
+    bad = {i for i, r in enumerate(told) if r[5]}
+    for own, asked in judged:
+        d, _ = brute_mcd(np.array([vector(rows[i][1]) for i in own]), np.array([told[i][0] for i in own]))
+        bad |= {i for i, v in zip(own, d) if v > qualityrules.CUTOFF and i in set(asked)}
     return [r for i, r in enumerate(rows) if i not in bad]
 
 
