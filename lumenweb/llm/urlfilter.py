@@ -3,7 +3,9 @@
 Rules name a host (and its subdomains) and the beginning of a path; the longest that fits decides. URLs that a rule
 decides are the labelled URLs from which the trees learn (at most ``TRAIN_ROWS`` distinct ones of each class, those with the
 smallest hash); the trees then judge the URLs that no rule fits. Features: lengths, depth, digit ratio, entropy of the characters, counts of
-parameters, hyphens and labels, and the smoothed share of blocked URLs of the host's suffix among all distinct labelled ones.
+parameters, hyphens and labels, and two statistics of the host's suffix among all distinct labelled URLs: how many there
+are, and the smoothed share of blocked ones. A training URL gets the share that the other folds' labels give (``FOLDS``
+folds by the hash of its host), so no URL's own label, nor one of its host, is in its features.
 Fitted trees become one SQL expression, so scoring is a projection of the scan.
 
 Edge cases: host and path are empty for a null url or one without ``://``; such URLs have features too (all zero for
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 from lumenweb.llm.common import materialize
 
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
-TRAIN_ROWS, TREES, DEPTH, STEP, SMOOTHING = 8000, 10, 3, 0.2, 20.0
+TRAIN_ROWS, TREES, DEPTH, STEP, SMOOTHING, FOLDS = 8000, 20, 4, 0.2, 20.0, 5
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -51,11 +53,11 @@ def _entropy(text: Column) -> Column:
     return F.aggregate(runs, F.lit(0.0), lambda a, x: a - F.length(x) / n * F.log2(F.length(x) / n))
 
 
-FEATURES = ("url_len", "host_len", "path_len", "query_len", "depth", "labels", "digit_ratio", "hyphens", "params", "segment_len", "entropy", "secure", "fragment", "suffix_rate")
+FEATURES = ("url_len", "host_len", "path_len", "query_len", "depth", "labels", "digit_ratio", "hyphens", "params", "segment_len", "entropy", "secure", "fragment", "suffix_seen", "suffix_rate")
 
 
 def features(df: DataFrame) -> DataFrame:
-    """Adds all of FEATURES but suffix_rate, and suffix."""
+    """Adds all of FEATURES but those of the suffix, and suffix."""
     url, count = F.coalesce(F.col("url"), F.lit("")), lambda c, chars: F.length(F.regexp_replace(c, f"[^{chars}]+", ""))
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
     out = {
@@ -81,33 +83,39 @@ def _tree_sql(text: str, names: tuple[str, ...]) -> str:
     return node(0)[0]
 
 
-def fit(labelled: DataFrame) -> tuple[str, DataFrame | None, float]:
-    """labelled: url, label (1: block). Returns the margin as SQL, and the suffixes' shares (suffix, suffix_rate) and the common one."""
-    known = labelled.groupBy("url").agg(F.first("label").cast("double").alias("label"))
+def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[str, DataFrame | None, float]:
+    """labelled: url, label (1: block). Returns the margin as SQL, the suffixes' statistics (suffix, suffix_seen, suffix_rate), and the common share."""
     host, path = split_url(F.col("url"))
-    suffixes = known.select(F.element_at(F.split(host, r"\."), -1).alias("suffix"), "label").groupBy("suffix").agg(F.count("*").alias("n"), F.sum("label").alias("s"))
-    suffixes = materialize(suffixes, "url-suffixes")
-    total, blocks = suffixes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("s"), F.lit(0.0))).first()
+    known = labelled.groupBy("url").agg(F.first("label").cast("double").alias("label")).withColumns({"host": host, "path": path})
+    known = known.withColumns({"suffix": F.element_at(F.split("host", r"\."), -1), "fold": F.pmod(F.xxhash64("host"), F.lit(FOLDS))})
+    cells = materialize(known.groupBy("suffix", "fold").agg(F.count("*").alias("n"), F.sum("label").alias("s")), "url-suffixes")
+    total, blocks = cells.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("s"), F.lit(0.0))).first()
     mean = blocks / total if total else 0.0
     if not 0 < blocks < total:
         return ("1.0D" if mean == 1 else "-1.0D"), None, mean
-    some = [known.where(F.col("label") == y).orderBy(F.xxhash64("url"), "url").limit(TRAIN_ROWS) for y in (0, 1)]
-    train = materialize(features(some[0].union(some[1]).withColumns({"host": host, "path": path})), "url-train")
+    some = [known.where(F.col("label") == y).orderBy(F.xxhash64("url"), "url").limit(train_rows) for y in (0, 1)]
+    train = materialize(features(some[0].union(some[1])), "url-train")
     n, blocked = train.agg(F.count("*"), F.sum("label")).first()
-    rates = suffixes.select("suffix", ((F.col("s") + SMOOTHING * mean) / (F.col("n") + SMOOTHING)).alias("suffix_rate"))
+    seen, rate = F.log1p(F.col("n")), (F.col("s") + SMOOTHING * mean) / (F.col("n") + SMOOTHING)
+    sums = cells.groupBy("suffix").agg(F.sum("n").alias("all_n"), F.sum("s").alias("all_s"))
+    # What the other folds say of a suffix; a fold that holds all of one leaves nothing but the common share.
+    others = sums.withColumn("fold", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(FOLDS - 1).cast("long")))).join(cells, ["suffix", "fold"], "left")
+    others = others.select("suffix", "fold", (F.col("all_n") - F.coalesce("n", F.lit(0))).alias("n"), (F.col("all_s") - F.coalesce("s", F.lit(0.0))).alias("s"))
+    fair = train.join(others.select("suffix", "fold", seen.alias("suffix_seen"), rate.alias("suffix_rate")), ["suffix", "fold"])
     # Rules name what they block more often than what they allow; both classes weigh the same.
-    weighed = with_rate(train, rates, mean).withColumn("weight", F.when(F.col("label") == 1, n / (2 * blocked)).otherwise(n / (2 * (n - blocked))))
+    weighed = fair.withColumn("weight", F.when(F.col("label") == 1, n / (2 * blocked)).otherwise(n / (2 * (n - blocked))))
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(weighed).select("features", "label", "weight")
     model = GBTClassifier(weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, maxBins=32, seed=42).fit(vectors)
     parts = [f"{w!r}D * {_tree_sql(t.toDebugString, FEATURES)}" for w, t in zip(model.treeWeights, model.trees, strict=True)]
+    rates = sums.select("suffix", F.col("all_n").alias("n"), F.col("all_s").alias("s")).select("suffix", seen.alias("suffix_seen"), rate.alias("suffix_rate"))
     return " + ".join(parts), rates, mean
 
 
 def with_rate(df: DataFrame, rates: DataFrame | None, mean: float) -> DataFrame:
-    """Adds suffix_rate; the table of rates is as large as there are suffixes, so Spark chooses how it is joined."""
+    """Adds the suffix's statistics; their table is as large as there are suffixes, so Spark chooses how it is joined."""
     if rates is None:
-        return df.withColumn("suffix_rate", F.lit(mean))
-    return df.join(rates, "suffix", "left").withColumn("suffix_rate", F.coalesce("suffix_rate", F.lit(mean)))
+        return df.withColumns({"suffix_seen": F.lit(0.0), "suffix_rate": F.lit(mean)})
+    return df.join(rates, "suffix", "left").withColumns({"suffix_seen": F.coalesce("suffix_seen", F.lit(0.0)), "suffix_rate": F.coalesce("suffix_rate", F.lit(mean))})
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
