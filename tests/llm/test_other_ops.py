@@ -81,16 +81,32 @@ def test_quality(labelled, empty, spark):
     assert quality.scores(empty, labels).count() == 0
 
 
-def test_co_training_uses_the_other_view():
-    """The text view alone can't tell the classes from its few labels; the other view names its rows."""
+def test_co_training_uses_the_other_view(spark):
+    """The text view can't tell the classes from its few labels; the metadata view is sure of documents and names them, all of them."""
     rng = np.random.default_rng(0)
-    y = np.tile([0, 1], 300)
-    meta = (y[:, None] * 2 - 1 + rng.normal(0, 0.3, (600, 1))).astype(np.float32)
-    text = (rng.normal(0, 1, (600, 60)) + (y[:, None] * 2 - 1) * 0.35).astype(np.float32)
-    model = quality.co_train(text[:24], meta[:24], y[:24].astype(np.float32), text[24:400], meta[24:400])
-    t, m, both = model.score(text[400:], meta[400:])
-    assert ((both > 0.5) == y[400:]).mean() > 0.95
-    assert ((t > 0.5) == y[400:]).mean() > 0.85
+    n = 3000
+    y = np.tile([0, 1], n // 2)
+    cells = np.array([quality.metadata_view("en", f"src{label}", 100 + i % 7) for i, label in enumerate(y)])
+    text = (rng.normal(0, 1, (n, 60)) + (y[:, None] * 2 - 1) * 0.3).astype(np.float16)
+    known = quality.Sums.none(60)
+    for label in (0, 1):
+        at = np.flatnonzero(y[:40] == label)
+        known.add(label, text[at], cells[at])
+    free = spark.createDataFrame([(bytearray(t.tobytes()), c.tolist()) for t, c in zip(text[240:2000], cells[240:2000])], "a binary, b array<int>").repartition(3)
+    held = text[40:240].astype(np.float32), cells[40:240], y[40:240]
+    right = lambda v: ((v.text.raw(text[2000:].astype(np.float32)) > 0) == y[2000:]).mean()
+    alone, taught = quality.co_train(free, known, held, rounds=0), quality.co_train(free, known, held)
+    assert right(alone) < 0.95 and right(taught) > 0.97
+    counted = quality.Sums.of(np.concatenate((known.flat()[:2] * 0 + 5, known.flat()[2:])), 60)
+    assert counted.n.tolist() == [5, 5] and (counted.cells == known.cells).all()
+
+
+def test_conflicting_labels_and_clashing_columns(spark, labelled):
+    docs, labels = labelled
+    both = labels.union(labels.where("doc_id % 40 = 0").selectExpr("doc_id", "1 - quality", "toxic")).repartition(3)
+    wide = docs.withColumns({c: F.lit("x") for c in ("y", "h", "a", "b", "x", "score", "predicted", "held_out", "quality")})
+    first, second = ({(r.doc_id, r.score) for r in quality.scores(wide, t).collect()} for t in (both, both.orderBy("quality", F.desc("doc_id"))))
+    assert first == second
 
 
 def test_nearest(spark, empty):
