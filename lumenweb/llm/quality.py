@@ -244,7 +244,7 @@ def co_train(free: DataFrame, known: Sums, held: tuple[np.ndarray, np.ndarray, n
 
 def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model:
     own = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("y"))
-    open_ = docs.where(F.col("doc_id").isNotNull() & ~held_out())
+    open_ = docs.where(F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", *[c for c in ("text", "lang", "source", "n_chars") if c in docs.columns])
     picked = own.where(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
     seen = _columns(open_.join(F.broadcast(picked), "doc_id"), F.xxhash64("doc_id").alias("h"), "y")  # at most labelled
     got = sorted(_seen(seen, None).distinct().collect(), key=lambda r: (r["h"], r["a"], r["b"]))
