@@ -145,13 +145,13 @@ def _starts(rows: DataFrame) -> DataFrame:
     return _cholesky(both).withColumn("_q_det", F.lit(float("inf")))
 
 
-def _step(rows: DataFrame, now: DataFrame) -> DataFrame:
-    """A concentration step of every group and start."""
-    far = _with_distance(rows.join(_small(now), "_q_g")).select(*_KEY, "_q_d", *[f"_q_x{i}" for i in range(D)])
-    limit = materialize(far.groupBy(*_KEY).agg(F.percentile_approx("_q_d", SHARE).alias("_q_h")), "mcd-limit")
-    near = far.join(_small(limit), list(_KEY)).where("_q_d <= _q_h")
+def _step(rows: DataFrame, now: DataFrame, hint) -> DataFrame:
+    """A concentration step of every group and start, in one job."""
+    far = _with_distance(rows.join(hint(now), "_q_g")).select(*_KEY, "_q_d", *[f"_q_x{i}" for i in range(D)])
+    limit = far.groupBy(*_KEY).agg(F.percentile_approx("_q_d", SHARE).alias("_q_h"))
+    near = far.join(hint(limit), list(_KEY)).where("_q_d <= _q_h")
     known = now.select(*_KEY, "_q_n", F.col("_q_det").alias("_q_before"))
-    return materialize(_cholesky(_moments(near, *_KEY).join(known, list(_KEY))), "mcd-step")
+    return materialize(_cholesky(_moments(near, *_KEY).join(hint(known), list(_KEY))), "mcd-step")
 
 
 def fit(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -162,16 +162,18 @@ def fit(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
     keys = F.array(F.col("_q_g")) if groups.where(F.col("_q_g") == ALL).isEmpty() else F.array_distinct(F.array("_q_g", F.lit(ALL)))
     rows = rows.join(_small(groups), ["_q_lang", "_q_source"]).where("_q_g is not null").select(F.explode(keys).alias("_q_g"), "_q_words", *[f"_q_x{i}" for i in range(D)])
     rows = materialize(rows, "mcd-rows")
+    # An estimate is a row for each group and start.
+    hint = F.broadcast if 2 * groups.count() <= BROADCAST_ROWS else lambda df: df
     now = materialize(_starts(rows), "mcd-step")
     for _ in range(STEPS):
-        now = _step(rows, now)
+        now = _step(rows, now, hint)
         falls = now.agg(F.max(F.col("_q_before") - F.col("_q_det"))).first()[0]
         now = now.drop("_q_before")
         if falls is None or falls <= SETTLED:
             break
     best = now.groupBy("_q_g").agg(F.min(F.struct("_q_det", "_q_start")).alias("_q_best")).select("_q_g", F.col("_q_best._q_start").alias("_q_start"))
     now = materialize(now.join(best, list(_KEY)).drop("_q_start"), "mcd-best")
-    middle = _with_distance(rows.join(_small(now), "_q_g")).groupBy("_q_g").agg(F.percentile_approx("_q_d", 0.5).alias("_q_median"))
+    middle = _with_distance(rows.join(hint(now), "_q_g")).groupBy("_q_g").agg(F.percentile_approx("_q_d", 0.5).alias("_q_median"))
     # Least deviations make distances small rather than large, so they are never scaled up.
     return groups, materialize(now.join(middle, "_q_g").withColumn("_q_scale", F.greatest(F.col("_q_median") / MEDIAN, F.lit(1.0))).drop("_q_median"), "mcd-fit")
 
