@@ -31,7 +31,7 @@ def below(rows: DataFrame, value: Column, out: str) -> DataFrame:
     """rows with the sum of value over all ranges below each one's own."""
     sums = rows.groupBy("_range").agg(F.sum(value).alias("_sum"))  # a row for each range
     under = F.coalesce(F.sum("_sum").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return rows.join(F.broadcast(sums.select("_range", under.alias(out))), "_range")
+    return rows.join(small(sums.select("_range", under.alias(out))), "_range")
 
 
 def with_positions(df: DataFrame, order: list[str], out: str) -> DataFrame:

@@ -97,7 +97,10 @@ def by_last_label(domains: DataFrame, domain: str = "domain") -> DataFrame:
     return domains.withColumn("last_label", F.substring_index(domain, ".", -1))
 
 
-def extend(names: DataFrame, tlds: DataFrame, existing: DataFrame) -> DataFrame:
-    """Each name under each TLD (a table of a few thousand rows, which its size check broadcasts) that isn't known yet."""
-    pairs = names.select("name").distinct().join(small(tlds.select("tld").distinct(), 10_000))
+def extend(names: DataFrame, tlds: DataFrame, existing: DataFrame, limit: int = 10_000) -> DataFrame:
+    """Each name under each TLD that isn't known yet. TLDs are a table of a few thousand rows by nature: they become one array in the plan, so that a name's domains are made in its own row; more than limit are an error."""
+    found = sorted(r["tld"] for r in tlds.select("tld").where("tld is not null").distinct().limit(limit + 1).collect())
+    if len(found) > limit:
+        raise ValueError(f"more than {limit} TLDs")
+    pairs = names.select("name").distinct().withColumn("tld", F.explode(F.lit(found) if found else F.array().cast("array<string>")))
     return pairs.withColumn("domain", F.concat("name", "tld")).join(existing.select("domain").distinct(), "domain", "left_anti")

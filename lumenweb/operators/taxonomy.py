@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenweb.functions.fixed import OWN_TOKENIZERS, SHORT_WORDS, STANDARD_LANGUAGES, UNIQUE_WORDS
-from lumenweb.operators.common import small
+from lumenweb.operators.common import small, true
 
 SCHEMA = "form string, root string, to_derive string, to_translate string, word string, context string, lgg string, trs_direct string, word_type string, end_class string"
 
@@ -42,7 +42,7 @@ def with_language_map(df: DataFrame, taxonomy: DataFrame, language: str = "langu
     maps = language_map(taxonomy)
     known = [r["lgg"] for r in maps.select("lgg").collect()]
     key = F.when(F.col(language).isin(*known), F.col(language)).otherwise("other")
-    return df.withColumn("_lgg", key).join(F.broadcast(maps.withColumnRenamed("lgg", "_lgg")), "_lgg", "left").drop("_lgg").withColumn("known", F.coalesce("known", F.create_map().cast("map<string,string>")))
+    return df.withColumn("_lgg", key).join(small(maps.withColumnRenamed("lgg", "_lgg"), 1000), "_lgg", "left").drop("_lgg").withColumn("known", F.coalesce("known", F.create_map().cast("map<string,string>")))
 
 
 def translate_words(words: DataFrame, taxonomy: DataFrame) -> DataFrame:
@@ -120,3 +120,18 @@ parked | attr | other | en:parked de:geparkt fr:parking es:estacionado it:parche
 registered | attr | other | en:registered de:registriert fr:enregistré es:registrado it:registrato sv:registrerad
 default | attr | starter | en:default de:standard fr:défaut es:defecto it:predefinita sv:standard
 """
+
+
+def derive(words: DataFrame, forms: DataFrame) -> DataFrame:
+    """words: (root, to_derive, to_translate); forms: (root, form, word), a table of word forms from wherever. Roots that are to be derived become their forms, others stay as they are; a root without forms is lost."""
+    yes = F.col("to_derive") == "yes"
+    derived = words.where(yes).join(forms.select("root", "form", "word").distinct(), "root")
+    kept = words.where(~true(yes)).withColumns({"word": F.col("root"), "form": F.lit(None).cast("string")})
+    return derived.unionByName(kept).select("root", "word", "form", "to_derive", "to_translate")
+
+
+def translate_table(words: DataFrame, languages: list[str], found: DataFrame) -> DataFrame:
+    """words with a row for each language, and its translation: found has (word, lgg, trs), from a translator that ran elsewhere. What it has no answer for is null; a word that is not to be translated is itself."""
+    asked = words.withColumn("lgg", F.explode(F.array(*[F.lit(x) for x in languages])))
+    got = asked.join(found.select("word", "lgg", "trs").dropDuplicates(["word", "lgg"]), ["word", "lgg"], "left")
+    return got.withColumn("trs", F.when(F.col("to_translate") == "yes", F.col("trs")).otherwise(F.col("word")))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from lumenweb.operators.common import small
 from lumenweb.operators.metrics import binary
 from lumenweb.operators.ranks import with_positions_within
+from lumenweb.sources.scratch import written
 
 # Settings of the two classifiers, and the grid.
 BINARY = {"stepSize": 0.5, "maxIter": 25, "maxDepth": 9, "minInstancesPerNode": 2}
@@ -33,14 +34,14 @@ def with_folds(df: DataFrame, target: str = "target", order: str = "id", k: int
     below = F.coalesce(F.sum("count").over(Window.partitionBy(target).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     sizes = sizes.select(target, "_b", below.alias("_below"), F.sum("count").over(Window.partitionBy(target)).alias("_n"))
     place = F.row_number().over(Window.partitionBy(target, "_b").orderBy(order)) - 1
-    ranked = rows.withColumn("_place", place).join(F.broadcast(sizes), [target, "_b"])  # 512 rows for each class
+    ranked = rows.withColumn("_place", place).join(small(sizes), [target, "_b"])
     return ranked.withColumn("fold", F.floor((F.col("_below") + F.col("_place")) * k / F.col("_n")).cast("int")).drop("_b", "_place", "_below", "_n")
 
 
 def ordered_folds(df: DataFrame, target: str = "target", order: str = "id", k: int = FOLDS) -> DataFrame:
     """fold as an unshuffled stratified split has it: the members of a class in order, in k runs, the first ones longer by one."""
     placed = with_positions_within(df, target, [order], "_place")
-    sizes = F.broadcast(df.groupBy(target).agg(F.count("*").alias("_n")).withColumnRenamed(target, "_class"))  # a row for each class
+    sizes = small(df.groupBy(target).agg(F.count("*").alias("_n")).withColumnRenamed(target, "_class"))
     n, at = F.col("_n"), F.col("_place")
     short, longer = F.floor(n / k), n % k
     fold = F.when(at < longer * (short + 1), F.floor(at / (short + 1))).otherwise(longer + F.floor((at - longer * (short + 1)) / F.greatest(short, F.lit(1))))
@@ -88,7 +89,7 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 def cross_validate(df: DataFrame, target: str = "target", k: int = FOLDS, settings: dict | None = None, order: str = "id") -> DataFrame:
     """Predictions for every row, by a model that didn't see its fold."""
-    folded = with_folds(df, target, order, k).cache()
+    folded = written(with_folds(df, target, order, k), "folds")
     out = None
     for i in range(k):
         part = predict(fit(folded.where(F.col("fold") != i), target, settings), folded.where(F.col("fold") == i))
@@ -138,47 +139,79 @@ def distance(a: Column, b: Column, counts: str = "text_feat") -> Column:
     return words + part("n_pair_same", 1) + part("n_pair_successive", 1) + part("n_words", 100) + part("n_sentences", 5)
 
 
-def nearest_right(df: DataFrame, key: str = "url", actual: str = "actual", predicted: str = "predicted", counts: str = "text_feat", block: int = 4096) -> DataFrame:
-    """(url, url_close, dist): for each wrong prediction the nearest row of the class that was predicted; ties by url.
+def nearest_right(df: DataFrame, key: str = "url", actual: str = "actual", predicted: str = "predicted", counts: str = "text_feat", band: int = 20_000) -> DataFrame:
+    """(url, url_close, dist): for each wrong prediction the nearest row of the class that was predicted; ties by url. Exact.
 
-    The wrong rows are the stated query set. They are looked for in blocks of bounded size that go to every task in turn
-    (a block is broadcast, all candidates are scanned for it once), and each task keeps one row a query, so neither a
-    cross join nor a group of candidates is ever built.
+    The sum of a row's coordinates differs between two rows by their distance at most, so rows are cut in bands of that
+    sum (about ``band`` rows each, a fuller one in slices). A wrong row is compared with its own band first, and then with
+    those bands only that what it found there doesn't rule out. Bands and wrong rows meet by a shuffle; a task holds one
+    slice.
     """
-    numbers = ["n_pair_same", "n_pair_successive", "n_words", "n_sentences"]
-    unit = np.array([1.0, 1.0, 100.0, 5.0])
-    rows = df.select(F.col(key).cast("string").alias("k"), F.col(actual).cast("int").alias("a"), F.col(predicted).cast("int").alias("p"), F.col(counts).cast("array<double>").alias("c"), F.array(*[F.col(n).cast("double") for n in numbers]).alias("n"))
-    wrong = rows.where("a <> p").withColumn("_block", F.pmod(F.xxhash64("k"), F.lit(max(1, -(-rows.where("a <> p").count() // block)))))
-    blocks = [r["_block"] for r in wrong.select("_block").distinct().collect()]
-    out = None
-    for b in blocks:
-        asked = [(r["k"], r["a"], np.array(r["c"] + (np.array(r["n"]) / unit).tolist())) for r in wrong.where(F.col("_block") == b).collect()]  # about block rows
-        names, classes, vectors = [x[0] for x in asked], np.array([x[1] for x in asked]), np.array([x[2] for x in asked])
-
-        def near(batches, names=names, classes=classes, vectors=vectors):
-            best = np.full(len(names), np.inf)
-            who: list = [None] * len(names)
+    unit = {"n_pair_same": 1.0, "n_pair_successive": 1.0, "n_words": 100.0, "n_sentences": 5.0}
+    x = F.concat(F.col(counts).cast("array<double>"), F.array(*[F.col(k).cast("double") / v for k, v in unit.items()]))
+    rows = df.select(F.col(key).cast("string").alias("k"), F.col(actual).cast("int").alias("a"), F.col(predicted).cast("int").alias("p"), x.alias("x"))
+    rows = written(rows.withColumn("s", F.aggregate("x", F.lit(0.0), lambda t, v: t + v)), "nearest-rows")
+    n = rows.count()
+    some = max(1, -(-n // band))
+    cuts = sorted(set(rows.approxQuantile("s", [i / some for i in range(1, some)], 0.1 / some))) if some > 1 else []
+    number = F.size(F.filter(F.lit(cuts) if cuts else F.array().cast("array<double>"), lambda c: c <= F.col("s")))
+    sizes = {r["b"]: r for r in rows.groupBy(number.alias("b")).agg(F.count("*").alias("n"), F.min("s").alias("low"), F.max("s").alias("high")).collect()}  # a row for each band
+    bands = sorted(sizes)
+    slices = {b: -(-sizes[b]["n"] // (2 * band)) for b in bands}
+    low, high = (np.array([sizes[b][c] for b in bands]) for c in ("low", "high"))
+    schema = "b int, slice int, kind int, k string, a int, x array<double>, s double, known double"
+
+    def ask(own: bool):
+        def run(batches):
             for pdf in batches:
-                if not len(pdf):
+                out = []
+                for k, a, v, s, b, known in pdf.itertuples(index=False, name=None):
+                    near = [b] if own else [bands[i] for i in np.flatnonzero((low <= s + known) & (high >= s - known)) if bands[i] != b]
+                    out += [(c, i, 1, k, a, v, s, known) for c in near for i in range(slices[c])]
+                yield pd.DataFrame(out, columns=["b", "slice", "kind", "k", "a", "x", "s", "known"])
+
+        return run
+
+    def search(batches):
+        now, held, index = None, [], None
+        for pdf in batches:
+            for (b, i, kind), part in pdf.groupby(["b", "slice", "kind"], sort=True):
+                if (b, i) != now:
+                    now, held, index = (b, i), [], None
+                if kind == 0:
+                    held.append(part)
                     continue
-                own = np.hstack((np.array(pdf["c"].tolist(), float).reshape(len(pdf), -1), np.array(pdf["n"].tolist(), float) / unit))
-                keys, a = pdf["k"].to_numpy(), pdf["a"].to_numpy()
-                for i in range(len(names)):
-                    at = np.flatnonzero(a != classes[i])
-                    if not len(at):
-                        continue
-                    d = np.abs(own[at] - vectors[i]).sum(1)
-                    j = min(np.flatnonzero(d == d.min()), key=lambda x: keys[at[x]])
-                    if (d[j], keys[at[j]]) < (best[i], who[i] or "\U0010ffff"):
-                        best[i], who[i] = d[j], keys[at[j]]
-            found = [i for i, w in enumerate(who) if w is not None]
-            yield pd.DataFrame({"url": [names[i] for i in found], "url_close": [who[i] for i in found], "dist": best[found]})
-
-        part = rows.mapInPandas(near, "url string, url_close string, dist double")
-        out = part if out is None else out.union(part)
-    if out is None:
-        return df.sparkSession.createDataFrame([], "url string, url_close string, dist double")
-    return out.groupBy("url").agg(F.min(F.struct("dist", "url_close")).alias("m")).select("url", "m.url_close", "m.dist")
+                if index is None:
+                    all_ = pd.concat(held).sort_values("k") if held else part.iloc[:0]
+                    index = all_["k"].to_numpy(), all_["a"].to_numpy(), np.array(all_["x"].tolist(), float).reshape(len(all_), -1)
+                keys, classes, vectors = index
+                found = []
+                for k, a, v, known in zip(part["k"], part["a"], part["x"], part["known"], strict=True):
+                    at = np.flatnonzero(classes != a)
+                    if len(at):
+                        d = np.abs(vectors[at] - np.array(v, float)).sum(1)
+                        j = int(d.argmin())  # keys are in order, so the first of equals has the smallest one
+                        if d[j] <= known:
+                            found.append((k, keys[at[j]], float(d[j])))
+                if found:
+                    yield pd.DataFrame(found, columns=["url", "url_close", "dist"])
+
+    placed = rows.withColumn("b", number)
+    slice_ = F.pmod(F.xxhash64("k"), F.element_at(F.create_map(*[F.lit(v) for kv in slices.items() for v in kv]), F.col("b"))) if bands else F.lit(0)
+    kept = placed.select("b", slice_.cast("int").alias("slice"), F.lit(0).alias("kind"), "k", "a", "x", "s", F.lit(0.0).alias("known"))
+    wrong = placed.where("a <> p").select("k", "a", "x", "s", "b")
+
+    def searched(asked: DataFrame, own: bool) -> DataFrame:
+        both = kept.union(asked.select("k", "a", "x", "s", "b", "known").mapInPandas(ask(own), schema))
+        return both.repartition("b", "slice").sortWithinPartitions("b", "slice", "kind").mapInPandas(search, "url string, url_close string, dist double")
+
+    best = lambda f: f.groupBy("url").agg(F.min(F.struct("dist", "url_close")).alias("m")).select("url", "m.url_close", "m.dist")
+    found = searched(wrong.withColumn("known", F.lit(float("inf"))), True)
+    if len(bands) > 1:
+        found = written(best(found), "nearest-own").select("url", "url_close", "dist")
+        rest = wrong.join(found.select(F.col("url").alias("k"), F.col("dist").alias("known")), "k", "left").fillna(float("inf"), ["known"])
+        found = found.union(searched(rest, False))
+    return best(found)
 
 
 def error_analysis(df: DataFrame, key: str = "url", actual: str = "actual", predicted: str = "predicted", carry: tuple[str, ...] = ("language", "n_words", "n_sentences")) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lumenweb.operators import training
 from lumenweb.plans.catalog.base import query, table
 from lumenweb.plans.catalog.labels import predictions
+from lumenweb.sources.scratch import written
 
 _SMALL = {"maxIter": 3, "maxDepth": 3}
 
@@ -77,20 +78,26 @@ def importance(spark, d):
 
 @query("a30_permutation_importance")
 def permutation(spark, d):
-    r = rows(spark, d).cache()
+    r = written(rows(spark, d), "permuted")
     return training.permutation_importance(training.fit(r, settings=_SMALL), r, ["percent", "hash"])
 
 
-@query("j16_j17_nearest_right", f"WITH p AS (SELECT doc_id, toxic AS actual, CASE WHEN ((doc_id * 37) % 101) / 100.0 > 0.5 THEN 1 ELSE 0 END AS predicted, doc_id % 7 AS f0, doc_id % 11 AS f1, doc_id % 200 AS nw, doc_id % 13 AS ns FROM labels WHERE toxic IS NOT NULL), x AS (SELECT CAST(a.doc_id AS VARCHAR) AS url, CAST(b.doc_id AS VARCHAR) AS url_close, abs(a.f0 - b.f0) + abs(a.f1 - b.f1) + abs(a.nw - b.nw) / 100 + abs(a.ns - b.ns) / 5 AS dist FROM p a JOIN p b ON a.actual <> a.predicted AND b.actual <> a.actual), r AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY round(dist, 9), url_close) AS k FROM x) SELECT url, round(dist, 6) AS dist FROM r WHERE k = 1")
+_NEAREST = "WITH p AS (SELECT doc_id, toxic AS actual, CASE WHEN ((doc_id * 37) % 101) / 100.0 > 0.5 THEN 1 ELSE 0 END AS predicted, concat('l', doc_id % 3) AS language, doc_id % 7 AS f0, doc_id % 11 AS f1, doc_id % 200 AS nw, doc_id % 13 AS ns FROM labels WHERE toxic IS NOT NULL), x AS (SELECT CAST(a.doc_id AS VARCHAR) AS url, CAST(b.doc_id AS VARCHAR) AS url_close, abs(a.f0 - b.f0) + abs(a.f1 - b.f1) + abs(a.nw - b.nw) / 100 + abs(a.ns - b.ns) / 5 AS dist FROM p a JOIN p b ON a.actual <> a.predicted AND b.actual <> a.actual), r AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY round(dist, 9), url_close) AS k FROM x) "
+
+
+def _pages(spark, d):
+    return predictions(spark, d).withColumns({"url": F.col("doc_id").cast("string"), "text_feat": F.array(F.col("doc_id") % 7, F.col("doc_id") % 11), "n_pair_same": F.lit(0), "n_pair_successive": F.lit(0), "n_sentences": F.col("doc_id") % 13})
+
+
+@query("j16_j17_nearest_right", _NEAREST + "SELECT url, round(dist, 6) AS dist FROM r WHERE k = 1")
 def nearest_right(spark, d):
-    p = predictions(spark, d).withColumns({"url": F.col("doc_id").cast("string"), "text_feat": F.array(F.col("doc_id") % 7, F.col("doc_id") % 11), "n_pair_same": F.lit(0), "n_pair_successive": F.lit(0), "n_sentences": F.col("doc_id") % 13})
-    return training.nearest_right(p).select("url", F.round("dist", 6).alias("dist"))
+    return training.nearest_right(_pages(spark, d)).select("url", F.round("dist", 6).alias("dist"))
 
 
-@query("o04_error_analysis")
+@query("o04_error_analysis", _NEAREST + "SELECT r.url, round(dist, 6) AS dist, a.actual, a.language, a.nw AS n_words, a.ns AS n_sentences, b.actual <> a.actual AS other_class FROM r JOIN p a ON CAST(a.doc_id AS VARCHAR) = r.url JOIN p b ON CAST(b.doc_id AS VARCHAR) = r.url_close WHERE k = 1")
 def error_analysis(spark, d):
-    p = predictions(spark, d).withColumns({"url": F.col("doc_id").cast("string"), "text_feat": F.array(F.col("doc_id") % 7, F.col("doc_id") % 11), "n_pair_same": F.lit(0), "n_pair_successive": F.lit(0), "n_sentences": F.col("doc_id") % 13})
-    return training.error_analysis(p)
+    out = training.error_analysis(_pages(spark, d))
+    return out.select("url", F.round("dist", 6).alias("dist"), "actual", "language", "n_words", "n_sentences", (F.col("actual_close") != F.col("actual")).alias("other_class"))
 
 
 @query("o01_o05_first_files", "SELECT name FROM (SELECT concat('f', page_id) AS name FROM pages) ORDER BY name LIMIT 5")

@@ -9,19 +9,25 @@ from __future__ import annotations
 
 import socket
 import ssl
+import threading
+import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from lumenweb.operators import domains
 from lumenweb.operators.visits import error_comment, with_status
 
 VISIT = "url string, status int, final_url string, raw_text string, header_keys array<string>, cookie_keys array<string>, hops array<struct<status: int, url: string>>, kind string, message string"
 MAX_BYTES = 200 * 1024 * 1024
+#: Requests that a task has open at a time.
+POOL = 50
 
 
 def fetch(url: str, timeout: float = 120.0) -> dict:
@@ -61,18 +67,50 @@ def _row(url: str, got: dict) -> tuple:
     return (url, *(got.get(k) for k in ("status", "final_url", "raw_text", "header_keys", "cookie_keys")), got.get("hops") or [], got.get("kind"), got.get("message"))
 
 
-def visit(urls: DataFrame, get: Callable[[str], dict] = fetch, partitions: int | None = None, revisit: bool = True) -> DataFrame:
-    """Crawl rows of urls: fetched in parallel by partition, with errors, statuses and histories told."""
+class Pace:
+    """Gives each caller the time when it may go: one each period, the first at once."""
+
+    def __init__(self, period: float, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
+        self.period, self.clock, self.sleep = period, clock, sleep
+        self.lock, self.next = threading.Lock(), None
+
+    def __call__(self) -> float:
+        """Waits, and returns the time of going."""
+        with self.lock:
+            now = self.clock()
+            go = now if self.next is None else max(now, self.next)
+            self.next = go + self.period
+        if go > now:
+            self.sleep(go - now)
+        return go
+
+
+def visit(urls: DataFrame, get: Callable[[str], dict] = fetch, partitions: int | None = None, revisit: bool = True, pool: int = POOL, period: float = 0.0) -> DataFrame:
+    """Crawl rows of urls: fetched in parallel by partition, with errors, statuses and histories told. A task has pool requests open at most, and begins one each period seconds at most."""
     columns = [x.split(" ")[0] for x in "url status final_url raw_text header_keys cookie_keys hops kind message".split()]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame([_row(u, get(u)) for u in pdf["url"]], columns=columns).astype({"status": "Int32"})
+        pace = Pace(period) if period else None
+
+        def one(u: str) -> tuple:
+            if pace:
+                pace()
+            return _row(u, get(u))
+
+        with ThreadPoolExecutor(max(1, pool)) as threads:
+            for pdf in batches:
+                yield pd.DataFrame(list(threads.map(one, pdf["url"])), columns=columns).astype({"status": "Int32"})
 
     dealt = urls.select("url").repartition(partitions) if partitions else urls.select("url")
     return as_crawl(dealt.mapInPandas(run, VISIT), revisit)
 
 
+def crawl(urls: DataFrame, visited: DataFrame, get: Callable[[str], dict] = fetch, partitions: int | None = None, pool: int = POOL, period: float = 0.0, seed: int = 0) -> DataFrame:
+    """A file's crawl: the distinct urls that can be visited and weren't, in shuffled order, by pools of requests."""
+    todo = domains.visit_order(domains.unvisited(domains.visit_set(urls), visited), seed).orderBy("visit_order").drop("visit_order")
+    return visit(todo, get, partitions, pool=pool, period=period)
+
+
 def as_crawl(visits: DataFrame, revisit: bool = True) -> DataFrame:
     failed = visits.withColumn("_e", error_comment(F.col("kind"), F.col("message"), revisit))
     told = with_status(failed)

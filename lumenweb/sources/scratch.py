@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
-    """A new path below spark.checkpoint.dir; where that is unset (local tests), below a private folder."""
+    """A new path below spark.checkpoint.dir; where that is unset, below a private folder if this is a local session, and an error on a cluster, where such a folder would be one machine's."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if not current.isDefined():
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir is unset")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lumenweb-"))
             current = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = current.get()
