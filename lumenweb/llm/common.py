@@ -18,13 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a private one where it is unset (local tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset: a private one if this is a local session, and an error on a cluster, where such a folder would be one machine's."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is unset")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lumenweb-"))
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 

@@ -146,6 +146,11 @@ def find_splitters(keys: DataFrame, n: int, every: int, tolerance: float) -> lis
     return [s.found for s in splitters]
 
 
+def _inside(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Whether each key is in one of the intervals [lo, hi): more of them begin than end up to it."""
+    return np.searchsorted(np.sort(lo), keys, "right") > np.searchsorted(np.sort(hi), keys, "right")
+
+
 def _settle_few(keys: DataFrame, few: list[_Splitter]) -> None:
     """Intervals of at most FEW_ROWS rows each: fetch their keys, at most FEW_ROWS times the number of splitters."""
     level = {False: [s for s in few if s.prefix is None], True: [s for s in few if s.prefix is not None]}
@@ -156,11 +161,11 @@ def _settle_few(keys: DataFrame, few: list[_Splitter]) -> None:
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k1, k2, size = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            keep = np.zeros(len(k1), bool)
-            for a, b in zip(lo[False], hi[False], strict=True):
-                keep |= (k1 >= a) & (k1 < b)
-            for p, a, b in zip(prefix, lo[True], hi[True], strict=True):
-                keep |= (k1 == p) & (k2 >= a) & (k2 < b)
+            keep = _inside(k1, lo[False], hi[False])
+            group = np.flatnonzero(np.isin(k1, prefix))
+            for p in np.unique(k1[group]):
+                rows = group[k1[group] == p]
+                keep[rows] |= _inside(k2[rows], lo[True][prefix == p], hi[True][prefix == p])
             yield pa.RecordBatch.from_pydict({"k1": pa.array(k1[keep], pa.int64()), "k2": pa.array(k2[keep], pa.int64()), "size": pa.array(size[keep], pa.int64())})
 
     rows = [tuple(r) for r in keys.mapInArrow(fetch, "k1 long, k2 long, size long").collect()]
@@ -194,8 +199,13 @@ def shard(df: DataFrame, n_shards: int = 16, text_col: str = "text", id_col: str
     h1, h2, _ = _key_columns(text_col, id_col)
     dealt = df.withColumns({"_hs_k1": h1, "_hs_k2": h2}).withColumn("_hs_b", bucket("_hs_k1", "_hs_k2")).repartition(shuffle_partitions(spark), "_hs_b")
     place = F.row_number().over(Window.partitionBy("_hs_b").orderBy("_hs_k1", "_hs_k2")) - 1
-    offset = F.element_at(F.array(*[F.lit(x).cast("long") for x in base]), F.col("_hs_b") + 1)
-    return dealt.withColumn("slot", offset + place).withColumn("shard", F.floor(F.col("_hs_b") / runs).cast("int")).drop("_hs_k1", "_hs_k2", "_hs_b")
+    bases = np.array(base, np.int64)
+
+    @F.pandas_udf("long")
+    def offset(b: pd.Series) -> pd.Series:
+        return pd.Series(bases[b.to_numpy()])
+
+    return dealt.withColumn("_hs_place", place.cast("long")).withColumn("slot", offset("_hs_b") + F.col("_hs_place")).drop("_hs_place").withColumn("shard", F.floor(F.col("_hs_b") / runs).cast("int")).drop("_hs_k1", "_hs_k2", "_hs_b")
 
 
 def shard_digests(df: DataFrame, n_shards: int = 16) -> DataFrame:
