@@ -259,8 +259,10 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model:
     for label in (0, 1):
         own_rows = np.flatnonzero(y[:cut] == label)
         known.add(label, text[own_rows], cells[own_rows])
-    free = _columns(open_.join(own.select("doc_id"), "doc_id", "left_anti"), F.lit(0).cast("long").alias("h"), F.lit(-1).alias("y"))
-    views_ = co_train(materialize(_seen(free, axes).select("a", "b"), "quality-views"), known, (text[cut:], cells[cut:], y[cut:]))
+    # Texts become views before rows meet labels, so that no text is shuffled.
+    every = _seen(_columns(open_, F.col("doc_id").cast("long").alias("h"), F.lit(-1).alias("y")), axes)
+    free = every.join(own.select(F.col("doc_id").cast("long").alias("h")), "h", "left_anti")
+    views_ = co_train(materialize(free.select("a", "b"), "quality-views"), known, (text[cut:], cells[cut:], y[cut:]))
     both = np.column_stack([c.raw(x[:, None]) for c, x in zip(views_.sure, (views_.text.raw(text[cut:]), views_.cells.raw(cells[cut:])), strict=True)])
     model = Model(float(y[:cut].mean()), axes)
     model.parts = (views_.text, views_.sure[0]), (views_.cells, views_.sure[1]), Logistic(l2=1e-3, steps=300).fit(both, y[cut:].astype(np.float32))
