@@ -14,6 +14,12 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """scan: a plain scan of files. Dealt to as many tasks as there are slots if it has fewer, since heavy expressions over one file would be one task; a scan of many files stays as it is, without a shuffle."""
+    slots = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(slots) if scan.rdd.getNumPartitions() < slots else scan
+
+
 def true(flag: Column) -> Column:
     """Null counts as false."""
     return F.coalesce(flag, F.lit(False))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lumenweb.functions import text, urls
 from lumenweb.operators import taxonomy
 from lumenweb.operators.category import with_categories
-from lumenweb.operators.common import add_missing
+from lumenweb.operators.common import add_missing, spread
 from lumenweb.plans import pipeline
 from lumenweb.plans.catalog.base import HOST, derived, query, sql_domain, table
 from lumenweb.plans.catalog.html import PAGE
@@ -53,5 +53,5 @@ def all_pages(spark, d):
     """The whole plan on the table of pages as it is."""
     pages = derived(spark, d, "pages", {"url": f"concat('p', page_id, '.', lower({HOST}))", "raw_text": "html", "is_error": "false", "comment": "CAST(NULL AS VARCHAR(9))"}, ("page_id",))
     known = spark.createDataFrame([("alpha", ".com")], "hosting_name string, tld string")
-    out = pipeline.run(pages.select("url"), pages.drop("page_id"), taxonomy.own(spark), known)
+    out = pipeline.run(pages.select("url"), spread(pages.drop("page_id")), taxonomy.own(spark), known)
     return out.select("input_url", "tld", "category_lv1", "category_lv4", "n_words", "n_letter", "flag_js_found", "language")

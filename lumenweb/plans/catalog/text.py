@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lumenweb.functions import language, text, tokenizers
 from lumenweb.functions.fixed import LIMITS, OWN_TOKENIZERS, PUNCTUATION, SENTENCE_END, STANDARD_LANGUAGES, WORD_GAP
 from lumenweb.operators import taxonomy
+from lumenweb.operators.common import spread
 from lumenweb.plans.catalog.base import query, table
 
 
@@ -28,7 +29,7 @@ def sql_tokens(x: str) -> str:
 
 
 def docs(spark, d):
-    return table(spark, d, "documents")
+    return spread(table(spark, d, "documents").select("doc_id", "text", "lang"))
 
 
 # Core and attribute words, roots and a vocabulary among the words that the documents have.

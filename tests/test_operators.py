@@ -1,6 +1,7 @@
 """Operators: golden numbers, precedence, consolidation, idempotent loads, the whole plan."""
 
 import datetime
+import os
 import shutil
 import subprocess
 import sys
@@ -198,8 +199,18 @@ def test_plan_keeps_every_domain(spark):
 def test_everything_works_without_the_training_data_part(tmp_path):
     copy = tmp_path / "repo"
     shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__", "spark-warehouse"))
-    code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 100 and not any(k.startswith('op') for k in q) and not set(e.oracle_sql()) - set(q); print('fine')"
-    said = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(copy), "HOME": str(tmp_path)}, timeout=120)
+    code = """
+import __spark_entry__ as e
+q = e.queries()
+assert len(q) > 100 and not any(k.startswith('op') for k in q) and not set(e.oracle_sql()) - set(q)
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').config('spark.sql.shuffle.partitions', '2').getOrCreate()
+pages = [(i, f'https://www.h{i}.com/a', '<p>x</p>') for i in range(30)]
+spark.createDataFrame(pages, 'page_id long, url string, html string').write.parquet('tables/pages.parquet')
+assert q['domain_categories'](spark, 'tables').count() > 0 and q['f01_clean_link'](spark, 'tables').count() == 30 and q['k07_upload'](spark, 'tables').count() == 30
+print('fine')
+"""
+    said = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, env=os.environ | {"PYTHONPATH": str(copy), "HOME": str(tmp_path)}, timeout=240)
     assert said.stdout.strip() == "fine", said.stderr[-800:]
 
 
