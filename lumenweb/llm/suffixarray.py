@@ -21,7 +21,7 @@ def _types(t: np.ndarray) -> np.ndarray:
     """True for S. The last symbol is a sentinel below all others."""
     n = len(t)
     step = np.sign(t[1:].astype(np.int32) - t[:-1])
-    at = np.where(step != 0, np.arange(n - 1), n)
+    at = np.where(step != 0, np.arange(n - 1, dtype=np.int32), np.int32(n))
     at = np.minimum.accumulate(at[::-1])[::-1]
     s = np.ones(n, bool)
     s[:-1] = step[np.minimum(at, n - 2)] > 0
@@ -48,7 +48,7 @@ def _push(sa: np.ndarray, t: np.ndarray, at: np.ndarray, ptr: np.ndarray, way: i
 def _induce(t: np.ndarray, s: np.ndarray, lms: np.ndarray, sigma: int) -> np.ndarray:
     """The suffix array that an order of the LMS suffixes induces."""
     n = len(t)
-    sa, count = np.zeros(n, np.int64), np.arange(n)
+    sa, count = np.zeros(n, np.int32), np.arange(n, dtype=np.int32)
     size = np.bincount(t, minlength=sigma)
     larger = np.bincount(t[~s], minlength=sigma)
     start = np.cumsum(size) - size
@@ -93,7 +93,7 @@ def _spell(names: np.ndarray, count: int) -> tuple[np.ndarray, int, int]:
     if count <= BUCKETS:
         return names, count, 1
     base = int(np.ceil(np.sqrt(count)))
-    out = np.zeros(2 * len(names) - 1, np.int64)
+    out = np.zeros(2 * len(names) - 1, np.int32)
     out[:-1:2], out[1::2] = names[:-1] // base + 1, names[:-1] % base + 1
     return out, base + 1, 2
 
@@ -102,30 +102,33 @@ def suffix_array(t: np.ndarray, sigma: int) -> np.ndarray:
     """t: symbols under sigma (at most 65,536), the last one 0 and below all others."""
     n, t = len(t), t.astype(np.uint16)
     if n < 2:
-        return np.zeros(n, np.int64)
+        return np.zeros(n, np.int32)
     s = _types(t)
-    lms = np.flatnonzero(s[1:] & ~s[:-1]) + 1
+    lms = np.flatnonzero(s[1:] & ~s[:-1]).astype(np.int32) + np.int32(1)
     sa = _induce(t, s, lms, sigma)
     is_lms = np.zeros(n, bool)
     is_lms[lms] = True
     ranked = sa[is_lms[sa]]
     # Names: equal to the one before if length and symbols are.
-    end = np.append(lms[1:], n - 1)
-    length = np.zeros(n, np.int64)
+    end = np.append(lms[1:], np.int32(n - 1))
+    length = np.zeros(n, np.int32)
     length[lms] = end - lms + 1
     a, b = ranked[:-1], ranked[1:]
     same = length[a] == length[b]
     at = np.flatnonzero(same)
     if len(at):
         size = length[a[at]]
-        off = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        begin = (np.cumsum(size) - size).astype(np.int32)
+        off = np.arange(size.sum(), dtype=np.int32) - np.repeat(begin, size)
         equal = t[np.minimum(np.repeat(a[at], size) + off, n - 1)] == t[np.minimum(np.repeat(b[at], size) + off, n - 1)]
-        same[at] = np.logical_and.reduceat(equal, np.cumsum(size) - size)
-    names = np.concatenate(([0], np.cumsum(~same)))
+        del off
+        same[at] = np.logical_and.reduceat(equal, begin)
+    names = np.concatenate(([0], np.cumsum(~same))).astype(np.int32)
     if names[-1] < len(lms) - 1:
-        name = np.zeros(n, np.int64)
+        name = np.zeros(n, np.int32)
         name[ranked] = names
         spelt, symbols, digits = _spell(name[lms], int(names[-1]) + 1)
+        del sa, is_lms, end, length, same, names, name
         order = suffix_array(spelt, symbols)
         ranked = lms[order[order % digits == 0] // digits]
     return _induce(t, s, ranked, sigma)
@@ -138,15 +141,14 @@ def permuted_prefixes(t: np.ndarray, sa: np.ndarray, starts: np.ndarray, cap: in
     others (and starts, at which counting begins anew because of cap) are compared.
     """
     n = len(t)
-    phi = np.full(n, -1, np.int64)
+    phi = np.full(n, -1, np.int32)
     phi[sa[1:]] = sa[:-1]
     head = np.ones(n, bool)
-    i = np.arange(1, n)
     ok = phi[1:] > 0
-    head[1:] = ~(ok & (t[i - 1] == t[np.maximum(phi[1:], 1) - 1]) & (phi[:-1] == phi[1:] - 1))
+    head[1:] = ~(ok & (t[:-1] == t[np.maximum(phi[1:], 1) - 1]) & (phi[:-1] == phi[1:] - 1))
     head[starts] = True
-    at = np.flatnonzero(head)
-    shared = np.zeros(len(at), np.int64)
+    at = np.flatnonzero(head).astype(np.int32)
+    shared = np.zeros(len(at), np.int32)
     live = np.flatnonzero(phi[at] >= 0)
     while len(live):
         x, y = at[live] + shared[live], phi[at[live]] + shared[live]
@@ -154,7 +156,8 @@ def permuted_prefixes(t: np.ndarray, sa: np.ndarray, starts: np.ndarray, cap: in
         good[good] = t[x[good]] == t[y[good]]
         live = live[good]
         shared[live] += 1
-    last = np.maximum.accumulate(np.where(head, np.arange(n), 0))
-    value = np.zeros(n, np.int64)
+    place = np.arange(n, dtype=np.int32)
+    last = np.maximum.accumulate(np.where(head, place, np.int32(0)))
+    value = np.zeros(n, np.int32)
     value[at] = shared
-    return np.maximum(value[last] - (np.arange(n) - last), 0)
+    return np.maximum(value[last] - (place - last), 0)

@@ -14,7 +14,8 @@ compared with all others; equal strings are brought together instead:
    each content are asked for where that is so; a common phrase asks for nothing.
 3. Those bytes are put together by anchor, in shards whose suffix array is made by induced sorting, with permuted common
    prefixes (see suffixarray): neighbours in the array that share LENGTH bytes are equal windows, and all but those of
-   the smallest document are removed. An anchor with very many contents is dealt on by its windows' hashes.
+   the smallest document are removed. An anchor with very many contents, or with more bytes than one array may have, is dealt
+   on by its windows' hashes.
 4. Each document's removed windows meet its text.
 
 Hashes only say which strings are brought together; a wrong removal would take a collision of 88 bits in step 2.
@@ -29,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,12 +44,14 @@ from lumenweb.llm.common import MIN_LONG, even_keys, materialize, release, shuff
 from lumenweb.llm.suffixarray import permuted_prefixes, suffix_array
 
 LENGTH, GRAM = 50, 16
-#: Bytes of text that are hashed together, and bytes of runs in one suffix array.
-CHUNK, BLOCK = 1_000_000, 500_000
-#: Parts of texts that are put together before they leave.
-PARTS = 20_000
+#: Bytes of text that are hashed together, and bytes of runs in one suffix array (more only if equal windows of an anchor have more).
+CHUNK, BLOCK = 1_000_000, 1_000_000
+#: Runs that are settled and reported together: the more, the fewer rows of reports, which are bundles times shards.
+REPORTS = 300_000
+#: Parts of texts that are put together before they leave, and their bytes.
+PARTS, PART_BYTES = 20_000, 4_000_000
 #: Results that are put together before they leave.
-ENTRIES = 1_000_000
+ENTRIES = 400_000
 #: Documents whose texts are cut together.
 ROWS = 256
 #: Contents of an anchor from which on its windows are dealt on one by one.
@@ -217,16 +221,20 @@ def _packed(rows: Iterator[tuple], n: int = 1024) -> Iterator[pa.RecordBatch]:
 def _report(shards: np.ndarray, owners: np.ndarray, length: int):
     """Step 1. Rows of kind 0 are removed windows, by owner; those of kind 1 are reports, by shard of the anchor."""
 
-    def bundle(ids: list[int], extras: list[int], parts: list[bytes], offsets: list[int]) -> Iterator[tuple]:
+    def hashed(ids: list[int], extras: list[int], parts: list[bytes], offsets: list[int]) -> tuple[np.ndarray, ...]:
+        """(key, content, left, right, doc, extra, first, count) of the runs of some texts."""
         ends = np.cumsum([len(p) for p in parts])
         first, count, key, content, left, right = runs(np.frombuffer(b"".join(parts), np.uint8), ends, length)
-        if not len(first):
-            return
         at = np.searchsorted(ends, first, "right")
         first = first - np.concatenate(([0], ends))[at] + np.array(offsets, np.int64)[at]
-        doc, extra = np.array(ids, np.int64)[at], np.array(extras, np.int64)[at]
         # A key travels as 40 bits, a content as 48, a side as 16.
-        key, content = key >> _U(24), content >> _U(16)
+        return key >> _U(24), content >> _U(16), left.astype(np.uint16), right.astype(np.uint16), np.array(ids, np.int64)[at], np.array(extras, np.int64)[at], first, count.astype(np.int32)
+
+    def bundle(some: list[tuple[np.ndarray, ...]]) -> Iterator[tuple]:
+        key, content, left, right, doc, extra, first, count = (np.concatenate(x) for x in zip(*some, strict=True))
+        some.clear()
+        if not len(first):
+            return
         order, _, least = _settle(key, content, doc)
         gone = order[~least]
         for owner, kind, n, payload in _packs(0, owners, doc[gone], extra[gone], first[gone], count[gone]):
@@ -244,10 +252,11 @@ def _report(shards: np.ndarray, owners: np.ndarray, length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, extras, parts, offsets, size = [], [], [], [], 0
+        some: list[tuple[np.ndarray, ...]] = []
 
         def flush() -> pa.RecordBatch:
             types = (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
-            return _batch(list(bundle(ids, extras, parts, offsets)), ["shard", "kind", "owner", "n", "payload"], types)
+            return _batch(list(bundle(some)), ["shard", "kind", "owner", "n", "payload"], types)
 
         for batch in batches:
             for i, e, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
@@ -262,9 +271,13 @@ def _report(shards: np.ndarray, owners: np.ndarray, length: int):
                     offsets.append(at)
                     size += len(part)
                     if size >= CHUNK:
-                        yield flush()
+                        some.append(hashed(ids, extras, parts, offsets))
                         ids, extras, parts, offsets, size = [], [], [], [], 0
+                        if sum(len(x[0]) for x in some) >= REPORTS:
+                            yield flush()
         if ids:
+            some.append(hashed(ids, extras, parts, offsets))
+        if some:
             yield flush()
 
     return run
@@ -284,7 +297,7 @@ def _across(group: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return out
 
 
-def _resolve(batches: Iterator[pa.RecordBatch], many: int, owners: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _resolve(batches: Iterator[pa.RecordBatch], many: int, owners: np.ndarray, most: int = BLOCK, length: int = LENGTH) -> Iterator[pa.RecordBatch]:
     """Step 2. Kinds of rows that leave: 0 removed windows; 1 runs whose bytes are wanted. Rows come by shard, and one shard at a time is in memory."""
     now, reports = None, []
     found: list[list[tuple]] = [[], []]
@@ -292,7 +305,7 @@ def _resolve(batches: Iterator[pa.RecordBatch], many: int, owners: np.ndarray) -
 
     def resolve() -> None:
         nonlocal entries
-        for told, columns in zip(found, _resolve_shard(reports, many), strict=True):
+        for told, columns in zip(found, _resolve_shard(reports, many, most, length), strict=True):
             if len(columns[0]):
                 told.append(columns)
                 entries += len(columns[0])
@@ -323,8 +336,8 @@ def _resolve(batches: Iterator[pa.RecordBatch], many: int, owners: np.ndarray) -
     yield from leave()
 
 
-def _resolve_shard(reports: list[tuple[int, bytes]], many: int) -> tuple[tuple, tuple]:
-    """(doc, extra, first, count) of what is removed, and (doc, extra, first, count, key, crowd) of what is asked for."""
+def _resolve_shard(reports: list[tuple[int, bytes]], many: int, most: int, length: int) -> tuple[tuple, tuple]:
+    """(doc, extra, first, count) of what is removed, and (doc, extra, first, count, key, crowd) of what is asked for. Anchors of over ``many`` contents or ``most`` bytes are crowded: their windows are dealt in ``crowd`` parts."""
     got: list[list[np.ndarray]] = [[] for _ in range(8)]
     for n, payload in reports:
         fields, at = [], 0
@@ -350,25 +363,61 @@ def _resolve_shard(reports: list[tuple[int, bytes]], many: int) -> tuple[tuple,
     if wild.any():
         ask |= np.isin(key, np.unique(key[wild])) & _across(key, doc)
     key, doc, extra, first, count = (x[ask] for x in (key, doc, extra, first, count))
-    size = np.unique(key, return_inverse=True, return_counts=True)
-    size = size[2][size[1].ravel()]
-    crowd = np.where(size > many, -(-size // max(1, many // 4)), 1)
+    _, at, size = np.unique(key, return_inverse=True, return_counts=True)
+    at = at.ravel()
+    windows = np.bincount(at, weights=count, minlength=len(size)).astype(np.int64)
+    crowded = (size > many) | (windows + size * (length - 1) > most)
+    crowd = np.where(crowded, np.maximum(-(-windows * length // max(1, most // 4)), 2), 1)[at]
     return removed, (doc, extra, first, count, key.view(np.int64), crowd)
 
 
 def _cut(shards: np.ndarray, length: int):
     """Step 3, first half: the bytes of the runs that are wanted, by the shard of their anchor. Rows come by owner, requests before texts.
 
-    Of equal windows of a crowded anchor that some PARTS rows hold, only those of the smallest document go on to the shard; the
-    others are removed already, and leave as rows without bytes that are dealt by document.
+    Windows of a crowded anchor leave one by one; equal ones of a text are one row, ``more`` has their other places. Of those
+    that some PARTS rows hold, only those of the smallest document go on to the shard; the others are removed already, and
+    leave as rows without bytes that are dealt by document.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, types = ["shard", "key", "id", "h", "first", "part"], (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        names = ["shard", "key", "id", "h", "first", "part", "more"]
+        types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
         now, asks, wanted = None, [], None
         deal, n_shards = shards.tolist(), len(shards)
-        out: list[tuple] = []
+        out: list[list] = []
+        size = 0
+        # Rows of out by anchor and window: the smallest document's, and the present text's.
         seen: dict[tuple[int, bytes], int] = {}
+        own_rows: dict[tuple[int, bytes], int] = {}
+
+        def window(k: int, crowd: int, i: int, h: int, w: int, part: bytes) -> None:
+            own = (k * 1_000_003 + zlib.crc32(part) % crowd) % 2**62
+            mine = own_rows.get((own, part))
+            if mine is not None:
+                if out[mine][6] is None:
+                    out[mine][6] = array("q")
+                out[mine][6].append(w)
+                return
+            row, here = [deal[own % n_shards], own, i, h, w, part, None], len(out)
+            place = own_rows[own, part] = seen.setdefault((own, part), here)
+            if place != here:
+                if i < out[place][2]:
+                    row, out[place] = out[place], row
+                else:
+                    own_rows[own, part] = here
+                if row[2] != i or out[place][2] != i:
+                    row[0], row[1], row[5] = deal[(row[2] ^ row[4]) % n_shards], 0, b""
+            out.append(row)
+
+        def flush() -> pa.RecordBatch:
+            nonlocal out, size
+            for row in out:
+                row[6] = None if row[6] is None else row[6].tobytes()
+            rows, out, size = out, [], 0
+            seen.clear()
+            own_rows.clear()
+            return _batch(rows, names, types)
+
         for batch in batches:
             for owner, n, payload, i, h, text in zip(*(batch.column(c).to_pylist() for c in (0, 2, 3, 4, 5)), batch.column(6), strict=True):
                 if owner != now:
@@ -380,30 +429,25 @@ def _cut(shards: np.ndarray, length: int):
                     continue
                 if wanted is None:
                     columns = [np.concatenate(x) for x in zip(*asks, strict=True)]
+                    asks = [()]
                     wanted = {(d, e): at for d, e, at in _spans(columns)}
                 at = wanted.get((i, h))
                 if at is None:
                     continue
                 raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
+                own_rows.clear()
                 for f, c, k, crowd in zip(*(x[at].tolist() for x in columns[2:]), strict=True):
                     if crowd == 1:
-                        out.append((deal[k % n_shards], k, i, h, f, raw[f : f + c + length - 1]))
+                        out.append([deal[k % n_shards], k, i, h, f, raw[f : f + c + length - 1], None])
+                        size += c + length - 1
                     else:
                         for w in range(f, f + c):
-                            part = raw[w : w + length]
-                            own = (k * 1_000_003 + zlib.crc32(part) % crowd) % 2**62
-                            row, place = (deal[own % n_shards], own, i, h, w, part), seen.setdefault((own, part), len(out))
-                            if place == len(out) or out[place][2] == i:
-                                out.append(row)
-                                continue
-                            if i < out[place][2]:
-                                row, out[place] = out[place], row
-                            out.append((deal[(row[2] ^ row[4]) % n_shards], 0, *row[2:5], b""))
-                if len(out) >= PARTS:
-                    yield _batch(out, names, types)
-                    out, seen = [], {}
+                            window(k, crowd, i, h, w, raw[w : w + length])
+                        size += 8 * c
+                    if len(out) >= PARTS or size >= PART_BYTES:
+                        yield flush()
         if out:
-            yield _batch(out, names, types)
+            yield flush()
 
     return run
 
@@ -411,20 +455,23 @@ def _cut(shards: np.ndarray, length: int):
 def equal_windows(parts: list[bytes], doc: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     """(part, window) of each window that also starts in a part of a smaller document: suffix array, common prefixes, runs of neighbours that share length bytes."""
     size = np.array([len(p) for p in parts], np.int64)
-    t = np.ones(size.sum() + len(parts) + 1, np.int64)
+    t = np.ones(size.sum() + len(parts) + 1, np.uint16)
     start = np.cumsum(size + 1) - size - 1
-    inside = np.arange(size.sum()) + np.repeat(np.arange(len(parts)), size)
-    t[inside] = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64) + 2
+    own_part = np.repeat(np.arange(len(parts), dtype=np.int32), size)
+    inside = np.arange(len(own_part), dtype=np.int32) + own_part
+    t[inside] = np.frombuffer(b"".join(parts), np.uint8).astype(np.uint16) + 2
     t[-1] = 0
     sa = suffix_array(t, 258)
     shared = permuted_prefixes(t, sa, start, int(size.max()))
-    part = np.full(len(t), -1, np.int64)
-    part[inside] = np.repeat(np.arange(len(parts)), size)
+    part = np.full(len(t), -1, np.int32)
+    part[inside] = own_part
     valid = np.zeros(len(t), bool)
-    valid[inside] = inside + length <= np.repeat(start + size, size)
-    group = np.cumsum(shared[sa] < length)
+    valid[inside] = inside + length <= (start + size)[own_part]
+    del inside, own_part
+    group = np.cumsum(shared[sa] < length, dtype=np.int32)
     keep = valid[sa]
     at, group = sa[keep], group[keep]
+    del shared, sa, valid, keep
     if not len(at):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     begins = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
@@ -435,20 +482,24 @@ def equal_windows(parts: list[bytes], doc: np.ndarray, length: int = LENGTH) ->
 
 
 def _sort_shard(owners: np.ndarray, length: int):
-    """Step 3, second half. Rows come sorted by anchor."""
+    """Step 3, second half. Rows come sorted by anchor; anchors share an array as long as they have BLOCK bytes at most."""
 
-    def block(rows: list[tuple]) -> tuple[np.ndarray, ...]:
+    def block(rows: list[tuple]) -> list[tuple[np.ndarray, ...]]:
+        """(doc, extra, window) of what is removed."""
         parts, doc = [r[4] for r in rows], np.array([r[1] for r in rows], np.int64)
         part, window = equal_windows(parts, doc, length)
         extra, first = np.array([r[2] for r in rows], np.int64), np.array([r[3] for r in rows], np.int64)
-        return doc[part], extra[part], first[part] + window
+        return [(doc[part], extra[part], first[part] + window), *(more(rows[at]) for at in np.unique(part).tolist() if rows[at][5])]
+
+    def more(row: tuple) -> tuple[np.ndarray, ...]:
+        places = np.frombuffer(row[5] or b"", np.int64)
+        return np.full(len(places), row[1]), np.full(len(places), row[2]), places
 
-    def leave(found: list[tuple], removed: list[tuple]) -> Iterator[pa.RecordBatch]:
-        if removed:
-            found = [*found, tuple(np.array(removed, np.int64).T)]
+    def leave(found: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         if not found:
             return
         doc, extra, first = (np.concatenate(x) for x in zip(*found, strict=True))
+        found.clear()
         order = np.lexsort((first, extra, doc))
         doc, extra, first = doc[order], extra[order], first[order]
         new = np.ones(len(doc), bool)
@@ -459,26 +510,41 @@ def _sort_shard(owners: np.ndarray, length: int):
             yield from _packed(_packs(0, owners, doc[begin], extra[begin], first[begin], first[last] - first[begin] + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Whole anchors that share an array, and the present anchor.
         rows: list[tuple] = []
-        found: list[tuple] = []
-        removed: list[tuple] = []
-        size = 0
+        last: list[tuple] = []
+        size, last_size, entries = 0, 0, 0
+        found: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
-            for r in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3, 4, 5)), strict=True):
+            gone: list[tuple] = []
+            for r in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3, 4, 5, 6)), strict=True):
                 if not r[4]:
-                    removed.append(r[1:4])
+                    gone.append(r)
                     continue
-                if size >= BLOCK and r[0] != rows[-1][0]:
-                    found.append(block(rows))
+                if last and r[0] != last[-1][0]:
+                    rows.extend(last)
+                    size, last, last_size = size + last_size, [], 0
+                if rows and size + last_size + len(r[4]) > BLOCK:
+                    got = block(rows)
+                    found += got
+                    entries += sum(len(x[0]) for x in got)
                     rows, size = [], 0
-                rows.append(r)
-                size += len(r[4])
-            if len(removed) + sum(len(x[0]) for x in found) >= ENTRIES:
-                yield from leave(found, removed)
-                found, removed = [], []
-        if rows:
-            found.append(block(rows))
-        yield from leave(found, removed)
+                    if entries >= ENTRIES:
+                        yield from leave(found)
+                        entries = 0
+                last.append(r)
+                last_size += len(r[4])
+            if gone:
+                found.append(tuple(np.array([r[1:4] for r in gone], np.int64).T))
+                got = [more(r) for r in gone if r[5]]
+                found += got
+                entries += len(gone) + sum(len(x[0]) for x in got)
+            if entries >= ENTRIES:
+                yield from leave(found)
+                entries = 0
+        if rows or last:
+            found += block(rows + last)
+        yield from leave(found)
 
     return run
 
@@ -507,10 +573,10 @@ def removed_windows(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
     """keyed: _sa_id, _sa_h, _sa_text. Returns (id, h, spans): packed (first window, number of windows) of each document that loses bytes."""
     spark = keyed.sparkSession
     parts = shuffle_partitions(spark)
-    shards, owners = even_keys(8, parts), even_keys(1, parts)
+    shards, owners = even_keys(4, parts), even_keys(1, parts)
     told = keyed.select("_sa_id", "_sa_h", "_sa_text").mapInArrow(_report(shards, owners, length), "shard int, kind int, owner int, n int, payload binary")
-    many = CROWD
-    first = materialize(told.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(lambda batches: _resolve(batches, many, owners), _PACKED), "suffix-first")
+    many, most = CROWD, BLOCK
+    first = materialize(told.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(lambda batches: _resolve(batches, many, owners, most, length), _PACKED), "suffix-first")
     release(spark)
 
     @F.pandas_udf("int")
@@ -521,7 +587,7 @@ def removed_windows(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
     asks = first.where("kind = 1").select("owner", F.lit(0).alias("turn"), "n", "payload", none.cast("long").alias("id"), none.cast("long").alias("h"), none.cast("string").alias("text"))
     texts = keyed.select(owner("_sa_id", "_sa_h").alias("owner"), F.lit(1).alias("turn"), F.lit(0).alias("n"), none.cast("binary").alias("payload"), F.col("_sa_id").alias("id"), F.col("_sa_h").alias("h"), F.col("_sa_text").alias("text"))
     both = asks.union(texts).repartition(parts, "owner").sortWithinPartitions("owner", "turn")
-    bytes_ = both.mapInArrow(_cut(shards, length), "shard int, key long, id long, h long, first long, part binary")
+    bytes_ = both.mapInArrow(_cut(shards, length), "shard int, key long, id long, h long, first long, part binary, more binary")
     second = materialize(bytes_.repartition(parts, "shard").sortWithinPartitions("key").mapInArrow(_sort_shard(owners, length), _PACKED), "suffix-second")
     release(spark)
     return first.where("kind = 0").union(second).repartition(parts, "owner").sortWithinPartitions("owner").mapInArrow(_by_document, "id long, h long, spans binary")
