@@ -19,6 +19,11 @@ def label_counts(labels: Column) -> Column:
     return F.transform(F.array_sort(counted), lambda x: F.struct(x["label"].alias("label"), (-x["k"]).alias("n")))
 
 
+def shared_labels(labels: Column) -> Column:
+    """The labels that occur more than once. As label_counts, one pass for each different label."""
+    return F.filter(F.array_distinct(labels), lambda x: F.size(F.filter(labels, lambda y: y == x)) > 1)
+
+
 def most_common(labels: Column) -> Column:
     return F.get(label_counts(labels), F.lit(0))["label"]
 
@@ -110,8 +115,11 @@ def label_percentages(counts: Column) -> Column:
 def labeller_summary(samples: DataFrame, choices: str = "user_choices", names: str = "user_name") -> DataFrame:
     """Per labeller: labels on samples of several, how many agree with all or with one other, ratios, and all labels given. Worst first."""
     c = F.col(choices)
-    flat = samples.where(F.size(c) > 0).select(F.explode(F.arrays_zip(c.alias("label"), F.col(names).alias("labeller"))).alias("x"), is_single(c).alias("single"), is_full_agreement(c).alias("full"), c.alias("all"))
-    flat = flat.select("x.label", "x.labeller", "single", "full", has_one_agreement(F.col("x.label"), F.col("all")).alias("one"))
+    # All that a label needs of its sample is found once a sample and goes into the label's own struct: a row that carried its sample's labels beside it would make the rows' size the square of a sample's.
+    sample = F.struct(shared_labels(c).alias("often"), is_single(c).alias("single"), is_full_agreement(c).alias("full"))
+    pairs = F.arrays_zip(c.alias("label"), F.col(names).alias("labeller"))
+    told = let(sample, lambda s: F.transform(pairs, lambda x: F.struct(x["labeller"].alias("labeller"), s["single"].alias("single"), s["full"].alias("full"), true(F.array_contains(s["often"], x["label"])).alias("one"))))
+    flat = samples.where(F.size(c) > 0).select(F.explode(told).alias("x")).select("x.*")
     several = ~F.col("single")
     out = flat.groupBy("labeller").agg(F.count_if(several & F.col("full")).alias("is_full_agreement"), F.count_if(several & F.col("one")).alias("has_one_agreement"), F.count_if(several).alias("QTY_labels_with_multi_lbls"), F.count("*").alias("QTY_labels"))
     out = out.where("QTY_labels_with_multi_lbls > 0")
