@@ -16,7 +16,7 @@ _SQL = "WITH e AS (SELECT event_id, " + ", ".join(f"{v} AS {k}" for k, v in _EVE
 
 def samples(spark, d):
     e = derived(spark, d, "events", _EVENT, ("event_id",))
-    rows = e.groupBy("url").agg(F.array_sort(F.collect_list(F.struct("event_id", "label", "labeller"))).alias("x"))
+    rows = e.groupBy("url").agg(F.sort_array(F.collect_list(F.struct("event_id", "label", "labeller"))).alias("x"))
     return rows.select("url", F.transform("x", lambda x: x["label"]).alias("user_choices"), F.transform("x", lambda x: x["labeller"]).alias("user_name"), F.when(F.hash("url").isNotNull(), "text").alias("html_text"), F.concat("url", F.lit(".png")).alias("ss_filename"))
 
 
