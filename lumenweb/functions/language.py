@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lumenweb.functions.text import detection_text
+from lumenweb.functions.text import detection_text, let
 
 #: Common words; a parameter of ``detect``.
 COMMON = {
@@ -25,9 +25,23 @@ SCRIPTS = {"zh-cn": r"[一-鿿]", "ja": r"[぀-ヿ]", "ko": r"[가-힣]", "ru":
 
 def detect(text: Column, common: dict[str, str] | None = None) -> Column:
     """A language code, or other: for short texts, and where nothing tells. Ties go to the first in the alphabet."""
+    kinds = common or COMMON
+    alphabet = sorted({*kinds, *SCRIPTS})
+    score = lambda n, g: F.struct(n.alias("n"), F.lit(-alphabet.index(g)).alias("turn"), F.lit(g).alias("g"))
+    telling = "[" + "".join(s[1:-1] for s in SCRIPTS.values()) + "]"
+
+    def by_words(words: Column) -> list[Column]:
+        return [score(F.size(F.filter(words, lambda w: w.isin(*c.split()))), g) for g, c in kinds.items()]
+
+    def by_script(head: Column) -> Column:
+        """None of the scripts is searched for in a text that has a letter of none."""
+        found = [score((2 * F.length(F.regexp_replace(head, "[^" + s[1:], "")) / 3).cast("int"), g) for g, s in SCRIPTS.items()]
+        return F.when(head.rlike(telling), F.array_max(F.array(*found))).otherwise(score(F.lit(0), alphabet[-1]))
+
+    def best(head: Column) -> Column:
+        words = F.array_remove(F.split(head, r"(?U)[^\p{L}]+"), "")
+        return F.greatest(let(words, lambda w: F.array_max(F.array(*by_words(w)))), by_script(head))
+
+    # The text that is looked at, its words and the best score are each made once a row, not once for each language.
     head = F.lower(F.coalesce(detection_text(text), F.lit("")))
-    words = F.array_remove(F.split(head, r"(?U)[^\p{L}]+"), "")
-    scores = [F.struct(F.size(F.filter(words, lambda w: w.isin(*c.split()))).alias("n"), F.lit(g).alias("g")) for g, c in (common or COMMON).items()]
-    scores += [F.struct((2 * F.length(F.regexp_replace(head, "[^" + s[1:], "")) / 3).cast("int").alias("n"), F.lit(g).alias("g")) for g, s in SCRIPTS.items()]
-    best = F.array_sort(F.array(*scores), lambda a, b: F.when(a["n"] != b["n"], b["n"] - a["n"]).when(a["g"] < b["g"], -1).when(a["g"] > b["g"], 1).otherwise(0))
-    return F.transform(F.slice(best, 1, 1), lambda x: F.when(x["n"] > 0, x["g"]).otherwise("other"))[0]
+    return let(let(head, best), lambda x: F.when(x["n"] > 0, x["g"]).otherwise("other"))

@@ -155,7 +155,7 @@ def with_features(df: DataFrame, text: str, url_domain: Column, vocabulary: list
 
 def detection_text(text: Column) -> Column:
     """What language detection looks at: without digits at the beginning, 3000 characters of sentences of over four."""
-    head = F.substring(F.regexp_replace(text, "^[0-9]*", ""), 1, 3000)
+    head = F.substring(F.ltrim(text, F.lit("0123456789")), 1, 3000)
     kept = F.filter(F.regexp_extract_all(head, F.lit(r"([^?.!]*)([?.!]|\z)"), F.lit(0)), lambda s: F.length(F.regexp_replace(s, r"[?.!]\z", "")) > 4)
     return F.when(F.length(text) > 10, F.array_join(kept, ""))
 
