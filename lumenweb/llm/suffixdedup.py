@@ -12,7 +12,8 @@ compared with all others; equal strings are brought together instead:
    contents differ, a window that two runs share reaches over half of the way from the anchor at least to one side, so
    runs can only share one if the bytes on that side are equal, which a short hash of them tells. The bytes of one run of
    each content are asked for where that is so; a common phrase asks for nothing.
-3. Those bytes are put together by anchor, in shards whose suffix array is made by induced sorting, with permuted common
+3. Those bytes are put together by anchor, in shards. Windows whose hash only one document of a block has are equal to none
+   and are left out. The others' suffix array is made by induced sorting, with permuted common
    prefixes (see suffixarray): neighbours in the array that share LENGTH bytes are equal windows, and all but those of
    the smallest document are removed. An anchor with very many contents, or with more bytes than one array may have, is dealt
    on by its windows' hashes.
@@ -452,7 +453,45 @@ def _cut(shards: np.ndarray, length: int):
     return run
 
 
-def equal_windows(parts: list[bytes], doc: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+def shared_stretches(parts: list[bytes], doc: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """(part, first byte, bytes) of what a suffix array has to decide on: stretches of windows of which another document's part may hold one.
+
+    Equal windows have equal hashes, so a window whose hash no other document has is equal to none and needs no place in an
+    array. Which windows are equal is for the array to tell: two that share a hash by chance are both in it.
+    """
+    size = np.array([len(p) for p in parts], np.int64)
+    start = np.cumsum(size) - size
+    a = np.frombuffer(b"".join(parts), np.uint8)
+    n = len(a) - length + 1
+    nothing = np.zeros(0, np.int64), np.zeros(0, np.int64), []
+    if n <= 0:
+        return nothing
+    sums = np.zeros(len(a) + 1, np.uint64)
+    np.cumsum(_BYTES[a] * _power("up", len(a)), out=sums[1:])
+    own = np.repeat(np.arange(len(parts), dtype=np.int32), size)[:n]
+    valid = np.flatnonzero(np.arange(n) + length <= (start + size)[own])
+    if not len(valid):
+        return nothing
+    hashed = _mix((sums[valid + length] - sums[valid]) * _power("down", n)[valid])
+    del sums
+    order = np.argsort(hashed)
+    hashed, places = hashed[order], valid[order]
+    del order, valid
+    begins = np.flatnonzero(np.concatenate(([True], hashed[1:] != hashed[:-1])))
+    owners = doc[own[places]]
+    across = np.minimum.reduceat(owners, begins) != np.maximum.reduceat(owners, begins)
+    keep = np.sort(places[np.repeat(across, np.diff(np.append(begins, len(places))))])
+    if not len(keep):
+        return nothing
+    # Neighbouring windows of a part are one stretch.
+    new = np.concatenate(([True], (np.diff(keep) > 1) | (own[keep[1:]] != own[keep[:-1]])))
+    first, last = keep[new], keep[np.append(np.flatnonzero(new)[1:] - 1, len(keep) - 1)]
+    part = own[first].astype(np.int64)
+    first_byte = first - start[part]
+    return part, first_byte, [parts[p][f : f + m] for p, f, m in zip(part.tolist(), first_byte.tolist(), (last - first + length).tolist(), strict=True)]
+
+
+def _sorted_windows(parts: list[bytes], doc: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(part, window) of each window that also starts in a part of a smaller document: suffix array, common prefixes, runs of neighbours that share length bytes."""
     size = np.array([len(p) for p in parts], np.int64)
     t = np.ones(size.sum() + len(parts) + 1, np.uint16)
@@ -481,6 +520,15 @@ def equal_windows(parts: list[bytes], doc: np.ndarray, length: int = LENGTH) ->
     return part[at], at - start[part[at]]
 
 
+def equal_windows(parts: list[bytes], doc: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """(part, window) of each window that also starts in a part of a smaller document."""
+    source, first, parts = shared_stretches(parts, doc, length)
+    if not parts:
+        return source, first
+    part, window = _sorted_windows(parts, doc[source], length)
+    return source[part], first[part] + window
+
+
 def _sort_shard(owners: np.ndarray, length: int):
     """Step 3, second half. Rows come sorted by anchor; anchors share an array as long as they have BLOCK bytes at most."""
 

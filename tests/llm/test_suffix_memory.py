@@ -119,3 +119,24 @@ def test_bytes_of_memory_for_a_byte():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 100 * 200_000
+
+
+def test_only_what_documents_may_share_is_sorted(monkeypatch):
+    """Windows that one document alone has, however often, need no place in a suffix array; the result is as without leaving them out."""
+    rng = random.Random(7)
+    passage = "".join(rng.choice("abcdefgh") for _ in range(70))
+    noise = lambda n: "".join(rng.choice("ijklmnop") for _ in range(n))
+    texts = [(i, noise(300) + passage[i % 3 : 60 + i % 7] + noise(300)) for i in range(200)] + [(300, "q" * 4000), (301, noise(20)), (302, noise(4000))]
+    parts, doc = [t.encode() for _, t in texts], np.array([d for d, _ in texts])
+    sizes, real = [], suffixdedup._sorted_windows
+
+    def watched(parts, doc, length):
+        sizes.append(sum(map(len, parts)))
+        return real(parts, doc, length)
+
+    monkeypatch.setattr(suffixdedup, "_sorted_windows", watched)
+    part, window = suffixdedup.equal_windows(parts, doc)
+    assert {(texts[p][0], 0, w) for p, w in zip(part.tolist(), window.tolist())} == brute(texts)
+    assert sizes[0] <= 200 * 80
+    everything = real(parts, doc, 50)
+    assert sorted(zip(part.tolist(), window.tolist())) == sorted(zip(*(x.tolist() for x in everything)))
